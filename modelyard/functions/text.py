@@ -18,10 +18,6 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: ~w.isin("", *ARTICLES))
 
 
-def normalised(text: Column) -> Column:
-    return F.array_join(tokens(text), " ")
-
-
 def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
     """Length of the longest common subsequence of whole sequences.
 

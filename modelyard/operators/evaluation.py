@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from modelyard.functions.text import lcs_length, normalised, tokens
+from modelyard.functions.text import lcs_length, tokens
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -28,24 +28,21 @@ def token_overlap(
     on the row alone and come along.  One shuffle, hashed on (row, token), so a long text spreads out.
     """
 
-    def side(text: str, of_response: int) -> Column:
-        return F.transform(
-            tokens(F.col(text)),
-            lambda t: F.struct(
-                t.alias("token"), F.lit(of_response).alias("r"), F.lit(1 - of_response).alias("e")
-            ),
-        )
-
-    # One token-less entry per row keeps rows whose texts are both empty.
-    sentinel = F.array(F.struct(F.lit(None).cast("string").alias("token"), F.lit(0).alias("r"), F.lit(0).alias("e")))
-    exact = (normalised(F.col(response)) == normalised(F.col(expected))).cast("int")
+    # Tokens are computed once, below a projection that uses them twice.
+    cut = df.select(key, *carry, tokens(F.col(response)).alias("_r"), tokens(F.col(expected)).alias("_e"))
+    # The closing NULL keeps rows whose texts are both empty; `outer` only spares Spark the
+    # emptiness filter it would infer, which would compute the tokens again.
+    one_list = F.concat("_r", "_e", F.array(F.lit(None).cast("string")))
+    is_response = F.col("_pos") < F.col("_size")
     counted = (
-        df.select(key, *carry, exact.alias("_exact"), F.concat(side(response, 1), side(expected, 0), sentinel).alias("_t"))
-        .select(key, *carry, "_exact", F.inline("_t"))
+        cut.select(
+            key, *carry, F.size("_r").alias("_size"), (F.col("_r") == F.col("_e")).cast("int").alias("_exact"), one_list.alias("_t")
+        )
+        .select(key, *carry, "_size", "_exact", F.posexplode_outer("_t").alias("_pos", "token"))
         .groupBy(key, "token")
         .agg(
-            F.sum("r").alias("r"),
-            F.sum("e").alias("e"),
+            F.count_if(is_response).alias("r"),
+            F.count_if(~is_response & F.col("token").isNotNull()).alias("e"),
             F.max("_exact").alias("_exact"),
             *[F.max(c).alias(c) for c in carry],
         )
@@ -69,12 +66,13 @@ def _common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def rouge_l(df: DataFrame, response: str, expected: str) -> DataFrame:
     """Longest common token subsequence of whole texts with its precision, recall and F1.  No shuffle."""
-    a, b = tokens(F.col(response)), tokens(F.col(expected))
     return (
-        df.withColumn("lcs", _common_subsequence(a, b))
-        .withColumn("lcs_precision", ratio(F.col("lcs"), F.size(a)))
-        .withColumn("lcs_recall", ratio(F.col("lcs"), F.size(b)))
+        df.select("*", tokens(F.col(response)).alias("_r"), tokens(F.col(expected)).alias("_e"))
+        .withColumn("lcs", _common_subsequence("_r", "_e"))
+        .withColumn("lcs_precision", ratio(F.col("lcs"), F.size("_r")))
+        .withColumn("lcs_recall", ratio(F.col("lcs"), F.size("_e")))
         .withColumn("lcs_f1", f1(F.col("lcs_precision"), F.col("lcs_recall")))
+        .drop("_r", "_e")
     )
 
 

@@ -27,6 +27,8 @@ ADAM_EPSILON = 1e-8
 
 # Partial gradients per update; partitions beyond this are merged, without a shuffle.
 _MAX_TASKS = 4096
+# Up to this many partial gradients are added by the driver, which spares small inputs a shuffle per update.
+_DIRECT_TASKS = 32
 
 
 @dataclass(frozen=True)
@@ -123,20 +125,22 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return x.reshape(len(y), -1).astype(np.float64), y
 
 
-def _gradient(rows: DataFrame, shape: Shape, flat: np.ndarray) -> tuple[np.ndarray, float, int]:
+def _gradient(rows: DataFrame, shape: Shape, flat: np.ndarray, tasks: int) -> tuple[np.ndarray, float, int]:
+    size = shape.size + 2
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(shape.size + 2)
+        held = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
                 held += gradient_sum(shape, flat, *_matrix(batch))
         if held[-1] > 0:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(held), dtype=np.int32)), pa.array(held)], names=["pos", "v"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(held)], ["pos", "v"])
 
-    summed = np.zeros(shape.size + 2)
-    for pos, value in rows.mapInArrow(partial, _SUMS).groupBy("pos").agg(F.sum("v").alias("v")).collect():
-        summed[pos] = value
+    sums = rows.mapInArrow(partial, _SUMS)
+    if tasks > _DIRECT_TASKS:
+        sums = sums.groupBy("pos").agg(F.sum("v").alias("v"))
+    collected = sums.toArrow()
+    summed = np.bincount(collected["pos"].to_numpy(), collected["v"].to_numpy(), minlength=size)
     n_rows = int(summed[-1])
     if n_rows == 0:
         raise ValueError("no rows to train on")
@@ -159,8 +163,9 @@ def train(
     optimiser, result = Adam(shape.size, rate), Training(shape)
     rows = training_rows(df, features, label).coalesce(_MAX_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        tasks = rows.rdd.getNumPartitions()
         for epoch in range(epochs):
-            gradient, loss, _ = _gradient(rows, shape, flat)
+            gradient, loss, _ = _gradient(rows, shape, flat, tasks)
             flat = optimiser.step(flat, gradient)
             result.losses.append(loss)
             if epoch % every == 0:

@@ -209,6 +209,10 @@ def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
+# Prices are squared here, so two digits leave room for the order of summation; R2 keeps six.
+_PRICE_METRICS = ("mse", "rmse", "mae", "max_error", "target_sum", "target_mean")
+
+
 @query
 def regression_metrics(spark, base):
     y, p = F.col("y"), F.col("p")
@@ -217,19 +221,19 @@ def regression_metrics(spark, base):
         *[c.alias(f"compat_{k}") for k, c in metrics.compat_metrics(y, p).items()],
         metrics.rmse(y, p).alias("rmse"),
     )
-    return _rounded(wide, 4, *wide.columns)
+    return _rounded(_rounded(wide, 2, "mse", "compat_rmse", "compat_mae", "rmse"), 6, "compat_r2")
 
 
 @query
 def evaluate_regressor(spark, base):
     result = metrics.evaluate(standins.regression(spark, base), "y", "p")
-    return _rounded(result, 4, *[c for c in result.columns if c != "n"])
+    return _rounded(_rounded(result, 2, *_PRICE_METRICS), 6, "r2")
 
 
 @query
 def metrics_by_model_dataset(spark, base):
     result = metrics.evaluate(standins.regression(spark, base), "y", "p", by=["model_id", "dataset"])
-    return _rounded(result, 4, "mse", "rmse", "mae", "r2", "max_error", "target_sum", "target_mean")
+    return _rounded(_rounded(result, 2, *_PRICE_METRICS), 6, "r2")
 
 
 @query

@@ -64,7 +64,7 @@ _R2 = """CASE WHEN var_pop({y}) * count(*) = 0
 def _bundle(y: str, p: str, digits: int) -> str:
     return f"""count(*) AS n, round(avg(({y} - {p}) ** 2), {digits}) AS mse,
   round(sqrt(avg(({y} - {p}) ** 2)), {digits}) AS rmse, round(avg(abs({y} - {p})), {digits}) AS mae,
-  round({_R2.format(y=y, p=p)}, {digits}) AS r2, round(max(abs({y} - {p})), {digits}) AS max_error,
+  round({_R2.format(y=y, p=p)}, 6) AS r2, round(max(abs({y} - {p})), {digits}) AS max_error,
   round(sum({y})::double, {digits}) AS target_sum, round(avg({y}), {digits}) AS target_mean"""
 
 
@@ -80,7 +80,7 @@ MESSAGES = "SELECT conv_id, turn, role, text, role = 'assistant' AND length(text
 
 _TOKENS = (
     "list_filter(regexp_split_to_array(regexp_replace(lower(coalesce({t}, '')), "
-    "'[^\\p{{L}}\\p{{N}} \\t\\n\\r\\f]', '', 'g'), '[ \\t\\n\\r\\f]+'), x -> x NOT IN ('', 'a', 'an', 'the'))"
+    "'[^\\p{{L}}\\p{{N}} \\t\\n\\r\\f]', '', 'g'), '[ \\t\\n\\r\\f]+'), lambda x: x NOT IN ('', 'a', 'an', 'the'))"
 )
 
 RESPONSES = """responses AS (
@@ -183,13 +183,13 @@ WITH ranked AS (
 SELECT o_orderkey, CASE WHEN r <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS dataset FROM ranked""",
     "q_regression_metrics": f"""
 WITH {REGRESSION}
-SELECT round(avg((y - p) ** 2), 4) AS mse, round(avg((y - p) ** 2), 4) AS compat_rmse,
-       round({_R2.format(y='y', p='p')}, 4) AS compat_r2, round(avg(abs(y - p)), 4) AS compat_mae,
-       round(sqrt(avg((y - p) ** 2)), 4) AS rmse
+SELECT round(avg((y - p) ** 2), 2) AS mse, round(avg((y - p) ** 2), 2) AS compat_rmse,
+       round({_R2.format(y='y', p='p')}, 6) AS compat_r2, round(avg(abs(y - p)), 2) AS compat_mae,
+       round(sqrt(avg((y - p) ** 2)), 2) AS rmse
 FROM scored""",
-    "q_evaluate_regressor": f"WITH {REGRESSION} SELECT {_bundle('y', 'p', 4)} FROM scored",
+    "q_evaluate_regressor": f"WITH {REGRESSION} SELECT {_bundle('y', 'p', 2)} FROM scored",
     "q_metrics_by_model_dataset": f"""
-WITH {REGRESSION} SELECT model_id, dataset, {_bundle('y', 'p', 4)} FROM scored GROUP BY model_id, dataset""",
+WITH {REGRESSION} SELECT model_id, dataset, {_bundle('y', 'p', 2)} FROM scored GROUP BY model_id, dataset""",
     "q_train_test_gap": f"""
 WITH {REGRESSION},
 wide AS (
@@ -211,8 +211,8 @@ SELECT dataset, count(*) AS n, round(avg(y - p), 4) AS bias,
        count(*) FILTER (abs(y - p) <= abs(y) * 0.1::double) AS within_tenth
 FROM scored GROUP BY dataset""",
     "q_cross_entropy": """
-WITH z AS (SELECT list_transform(embedding, x -> x::double) AS z, label FROM embeddings)
-SELECT count(*) AS n, round(avg(list_max(z) + ln(list_sum(list_transform(z, x -> exp(x - list_max(z))))) - z[label + 1]), 6) AS loss
+WITH z AS (SELECT list_transform(embedding, lambda x: x::double) AS z, label FROM embeddings)
+SELECT count(*) AS n, round(avg(list_max(z) + ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) - z[label + 1]), 6) AS loss
 FROM z""",
     "q_lineage": f"""
 WITH {MODELS}, {LOG},
@@ -297,8 +297,9 @@ w AS (SELECT label, list(m ORDER BY idx) AS w FROM (SELECT label, idx, avg(x) AS
 ranked AS (
   SELECT w.label::bigint AS query_id, f.vec_id, list_cosine_similarity(f.embedding::double[], w.w) AS similarity
   FROM features f, w)
-SELECT query_id, row_number() OVER q AS rank, vec_id, round(similarity, 6) AS similarity FROM ranked
-QUALIFY row_number() OVER q <= 10 WINDOW q AS (PARTITION BY query_id ORDER BY similarity DESC, vec_id)""",
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank, vec_id,
+       round(similarity, 6) AS similarity FROM ranked
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) <= 10""",
     "q_prepend_system": f"""
 SELECT conv_id, turn, role, text FROM conversations
 UNION ALL SELECT DISTINCT conv_id, -1, 'system', '{PROMPT}' FROM conversations""",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from modelyard.functions.scalars import binary_label
 from modelyard.operators.splits import hash_split
-from modelyard.sources.tables import read_table
+from modelyard.sources.tables import read_table, spread_over_cores
 
 MEDIAN_DATE = "timestamp_ntz'1998-04-25 00:00:00'"
 N_STEPS = 101
@@ -113,7 +113,7 @@ def responses(spark: SparkSession, base: str) -> DataFrame:
     """Every document as a response, with a benchmark text as what was expected."""
     benchmark = read_table(spark, base, "benchmark").select("item_id", F.col("text").alias("expected"))
     n_items = benchmark.agg(F.count(F.lit(1))).scalar()
-    documents = read_table(spark, base, "documents").select(
+    documents = spread_over_cores(read_table(spark, base, "documents").select("doc_id", "lang", "text")).select(
         F.col("doc_id").alias("request_id"),
         "lang",
         F.col("text").alias("response"),

@@ -133,7 +133,7 @@ def score_assigned(
         joined = narrow.join(F.broadcast(assigned), dataset)
     else:
         salted = narrow.withColumn("_salt", F.pmod(F.xxhash64(row_key), F.lit(_SALTS)))
-        copies = assigned.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).cast("bigint"))
+        copies = assigned.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))))
         joined = salted.join(copies, [dataset, "_salt"]).drop("_salt")
     prediction = dot_arrays(F.col(features), F.col("weights")) + F.col("intercept")
     return joined.select("model_id", dataset, row_key, *keep, prediction.alias("prediction"))

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from modelyard.operators.blocks import top_k
 
@@ -77,6 +77,10 @@ def _scan(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInPandas(search, _HITS)
 
 
+def _numbers(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+
+
 def _blocks(vectors: DataFrame, queries: DataFrame, n_vectors: int, n_queries: int, k: int) -> DataFrame:
     """Every block of queries meets every block of vectors once."""
     v_blocks = max(1, -(-n_vectors // _BLOCK_ROWS))
@@ -84,12 +88,12 @@ def _blocks(vectors: DataFrame, queries: DataFrame, n_vectors: int, n_queries: i
     v_side = (
         vectors.select("vec_id", "embedding")
         .withColumn("_v", F.pmod(F.xxhash64("vec_id"), F.lit(v_blocks)))
-        .withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("bigint"))
+        .withColumn("_q", F.explode(_numbers(q_blocks)))
     )
     q_side = (
         queries.select("query_id", F.col("embedding").alias("q_embedding"))
         .withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
-        .withColumn("_v", F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).cast("bigint"))
+        .withColumn("_v", F.explode(_numbers(v_blocks)))
     )
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -4,6 +4,9 @@ A window partitioned by the group alone sorts a whole group in one task.  Here a
 blocks of its integer order column: the window runs per (group, block), one summary row per block is
 carried forward by a window over the summaries, and the carry is joined back.  The largest task
 holds one block, or the block summaries of one group.
+
+The (group, block) pair is one struct column: it is the partitioning of the window, of the summary
+and of the join, so the rows are shuffled once, and NULL group keys match each other.
 """
 
 from __future__ import annotations
@@ -13,87 +16,98 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_BITS = 16
-BLOCK = "_block"
+_PLACE = "_place"
+_SLICES = 1024
 
 
-def with_block(df: DataFrame, order: str, bits: int = BLOCK_BITS) -> DataFrame:
-    """Block number of an integer order column; monotone in the order, also below zero."""
-    return df.withColumn(BLOCK, F.shiftright(F.col(order).cast("bigint"), bits))
+def _placed(df: DataFrame, keys: Sequence[str], order: str, bits: int) -> DataFrame:
+    """Block numbers are monotone in the order, also below zero."""
+    block = F.shiftright(F.col(order).cast("bigint"), bits)
+    return df.withColumn(_PLACE, F.struct(*keys, block.alias("_block")))
 
 
-def _join_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    on = [*keys, BLOCK]
-    renamed = carry.select(*[F.col(c).alias(f"_c_{c}") if c in on else F.col(c) for c in carry.columns])
-    condition = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in on]
-    return df.join(renamed, condition, "inner").drop(*[f"_c_{c}" for c in on])
+def _between_blocks(keys: Sequence[str]):
+    """Window over block summaries of a group, in block order."""
+    return Window.partitionBy(*[F.col(f"{_PLACE}.{k}") for k in keys]).orderBy(f"{_PLACE}._block")
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: str, out: str, bits: int = BLOCK_BITS) -> DataFrame:
     """Dense 1..n per group in the order of a unique integer column."""
-    blocked = with_block(df, order, bits)
-    inside = blocked.withColumn("_in_block", F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(order)))
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = _placed(df, keys, order, bits)
     offsets = (
-        blocked.groupBy(*keys, BLOCK)
+        placed.groupBy(_PLACE)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select(
+            _PLACE,
+            F.coalesce(
+                F.sum("_n").over(_between_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ).alias("_offset"),
+        )
     )
     return (
-        _join_carry(inside, offsets, keys)
+        placed.withColumn("_in_block", F.row_number().over(Window.partitionBy(_PLACE).orderBy(order)))
+        .join(offsets, _PLACE)
         .withColumn(out, (F.col("_offset") + F.col("_in_block")).cast("bigint"))
-        .drop(BLOCK, "_in_block", "_offset")
+        .drop(_PLACE, "_in_block", "_offset")
     )
 
 
 def with_next(
-    df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, bits: int = BLOCK_BITS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    columns: Sequence[str],
+    prefix: str = "next_",
+    bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """`value` of the next row of the group; NULL on the group's last row."""
-    blocked = with_block(df, order, bits).withColumn("_value", value)
-    in_block = Window.partitionBy(*keys, BLOCK).orderBy(order)
-    inside = blocked.withColumn("_next", F.lead("_value").over(in_block)).withColumn(
-        "_is_last", F.lead(F.lit(1)).over(in_block).isNull()
-    )
-    following = Window.partitionBy(*keys).orderBy(BLOCK)
+    """The given columns of the next row of the group, prefixed; NULL on the group's last row."""
+    placed = _placed(df, keys, order, bits)
+    in_block = Window.partitionBy(_PLACE).orderBy(order)
     firsts = (
-        blocked.groupBy(*keys, BLOCK)
-        .agg(F.min_by(F.struct("_value"), order).alias("_first"))
-        .select(*keys, BLOCK, F.lead("_first").over(following)["_value"].alias("_next_block"))
+        placed.groupBy(_PLACE)
+        .agg(F.min_by(F.struct(*columns), order).alias("_first"))
+        .select(_PLACE, F.lead("_first").over(_between_blocks(keys)).alias("_after"))
     )
-    return (
-        _join_carry(inside, firsts, keys)
-        .withColumn(out, F.when(F.col("_is_last"), F.col("_next_block")).otherwise(F.col("_next")))
-        .drop(BLOCK, "_value", "_next", "_is_last", "_next_block")
+    inside = placed.select(
+        "*",
+        F.lead(F.lit(1)).over(in_block).isNull().alias("_closes"),
+        *[F.lead(c).over(in_block).alias(f"{prefix}{c}") for c in columns],
     )
+    joined = inside.join(firsts, _PLACE)
+    for c in columns:
+        joined = joined.withColumn(
+            f"{prefix}{c}", F.when(F.col("_closes"), F.col(f"_after.{c}")).otherwise(F.col(f"{prefix}{c}"))
+        )
+    return joined.drop(_PLACE, "_closes", "_after")
 
 
 def with_previous_and_best(
     df: DataFrame, keys: Sequence[str], order: str, value: str, previous: str, best: str, bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Value of the preceding row and largest value so far, per group in the order of a unique column."""
-    blocked = with_block(df, order, bits)
-    in_block = Window.partitionBy(*keys, BLOCK).orderBy(order)
-    inside = (
-        blocked.withColumn("_prev", F.lag(value).over(in_block))
-        .withColumn("_best", F.max(value).over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_is_first", F.row_number().over(in_block) == 1)
-    )
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK)
+    placed = _placed(df, keys, order, bits)
+    in_block = Window.partitionBy(_PLACE).orderBy(order)
+    earlier = _between_blocks(keys)
     carries = (
-        blocked.groupBy(*keys, BLOCK)
-        .agg(F.max_by(F.struct(value), order).alias("_last"), F.max(value).alias("_top"))
+        placed.groupBy(_PLACE)
+        .agg(F.max_by(value, order).alias("_last"), F.max(value).alias("_top"))
         .select(
-            *keys,
-            BLOCK,
-            F.lag("_last").over(earlier)[value].alias("_prev_block"),
+            _PLACE,
+            F.lag("_last").over(earlier).alias("_before"),
             F.max("_top").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_best_before"),
         )
     )
+    inside = placed.select(
+        "*",
+        F.lag(value).over(in_block).alias(previous),
+        F.max(value).over(in_block.rowsBetween(Window.unboundedPreceding, 0)).alias(best),
+        (F.row_number().over(in_block) == 1).alias("_opens"),
+    )
     return (
-        _join_carry(inside, carries, keys)
-        .withColumn(previous, F.when(F.col("_is_first"), F.col("_prev_block")).otherwise(F.col("_prev")))
-        .withColumn(best, F.greatest("_best", "_best_before"))
-        .drop(BLOCK, "_prev", "_best", "_is_first", "_prev_block", "_best_before")
+        inside.join(carries, _PLACE)
+        .withColumn(previous, F.when(F.col("_opens"), F.col("_before")).otherwise(F.col(previous)))
+        .withColumn(best, F.greatest(best, "_best_before"))
+        .drop(_PLACE, "_opens", "_before", "_best_before")
     )
 
 
@@ -105,11 +119,10 @@ def top_k(
     Each group is first cut into slices by `spread` (a hash of a row key) and reduced to k rows per
     slice, so no task sorts a whole hot group.
     """
-    slices = 1024
     per_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
     per_group = Window.partitionBy(*keys).orderBy(*order)
     return (
-        df.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(slices)))
+        df.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(_SLICES)))
         .withColumn("_r", F.row_number().over(per_slice))
         .where(F.col("_r") <= k)
         .withColumn(out, F.row_number().over(per_group).cast("bigint"))

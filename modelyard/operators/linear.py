@@ -18,7 +18,7 @@ L1_RATIO = 0.5
 
 INTERCEPT = -1
 BROADCAST_BYTES = 32 << 20
-_SALTS = 64
+_SALTS = 1024
 
 
 @dataclass(frozen=True)

@@ -49,8 +49,10 @@ def route(has_tool_calls: Column) -> Column:
 
 def route_conversations(turns: DataFrame, tool_calls: str = "tool_calls") -> DataFrame:
     """`continue` where the last message calls tools, else `end`."""
-    flagged = turns.withColumn("_calls", is_truthy_list(F.col(tool_calls)))
-    return last_messages(flagged, "_calls").select("conv_id", "turn", route(F.col("_calls")).alias("route"))
+    calls = is_truthy_list(F.col(tool_calls))
+    return turns.groupBy("conv_id").agg(
+        F.max("turn").alias("turn"), route(F.max_by(calls, "turn")).alias("route")
+    )
 
 
 def flatten_updates(events: DataFrame, event: str = "event", strict: bool = False) -> DataFrame:
@@ -87,11 +89,11 @@ def split_valid(turns: DataFrame, role: str = "role", content: str = "text") ->
 
 def pair_turns(turns: DataFrame) -> DataFrame:
     """User turns directly followed by an assistant turn."""
-    following = F.struct("role", "text")
+    rows = turns.select("conv_id", "turn", "role", "text")
     return (
-        with_next(turns, ["conv_id"], "turn", following, "_following")
-        .where((F.col("role") == "user") & (F.col("_following.role") == "assistant"))
-        .select("conv_id", "turn", F.col("text").alias("request"), F.col("_following.text").alias("response"))
+        with_next(rows, ["conv_id"], "turn", ["role", "text"])
+        .where("role = 'user' AND next_role = 'assistant'")
+        .select("conv_id", "turn", F.col("text").alias("request"), F.col("next_text").alias("response"))
     )
 
 

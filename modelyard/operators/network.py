@@ -26,7 +26,7 @@ ADAM_BETA2 = 0.999
 ADAM_EPSILON = 1e-8
 
 # Partial gradients per update; partitions beyond this are merged, without a shuffle.
-_MAX_TASKS = 4096
+_MAX_TASKS = 1 << 16
 # Up to this many partial gradients are added by the driver, which spares small inputs a shuffle per update.
 _DIRECT_TASKS = 32
 

@@ -86,19 +86,12 @@ def deployable_versions(
     return approval_gate(versions, tag).where("approved").join(evaluated, "model_id", "left_semi").drop("approved", "reason")
 
 
-def latest_version_per_name(versions: DataFrame) -> DataFrame:
-    rest = [c for c in versions.columns if c != "name"]
-    return (
-        versions.groupBy("name").agg(F.max_by(F.struct(*rest), "version").alias("_m")).select("name", "_m.*")
-    )
-
-
 def desired_endpoints(versions: DataFrame) -> DataFrame:
     """One endpoint per name, serving its latest version."""
-    return latest_version_per_name(versions.select("name", "version")).select(
+    return versions.groupBy("name").agg(F.max("version").alias("entity_version")).select(
         endpoint_name(F.col("name")).alias("endpoint_name"),
         F.col("name").alias("entity_name"),
-        F.col("version").alias("entity_version"),
+        "entity_version",
         F.lit(WORKLOAD_SIZE).alias("workload_size"),
         F.lit(SCALE_TO_ZERO).alias("scale_to_zero"),
     )

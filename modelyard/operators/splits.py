@@ -12,7 +12,7 @@ from modelyard.functions.hashing import HASH_BITS, seeded_hash60
 TEST_SHARE = "0.2"
 SEED = 42
 
-_BUCKET_BITS = 20
+_BUCKET_BITS = 16
 
 
 def _threshold(share: str) -> int:
@@ -39,26 +39,25 @@ def exact_split(
 ) -> DataFrame:
     """Test part of exactly ceil(share * n) rows: those with the smallest key hash.
 
-    A histogram over the top 20 hash bits finds the one bucket that the border falls into; rows
-    outside are decided by comparison, and only that bucket (n / 2^20 rows) is sorted.
+    A histogram over the top 16 hash bits finds the one bucket that the border falls into; rows
+    outside are decided by comparison, and only that bucket (n / 2^16 rows) is sorted.
     """
     hashed = df.withColumn("_h", seeded_hash60(F.col(key), seed)).withColumn(
         "_b", F.shiftright("_h", HASH_BITS - _BUCKET_BITS)
     )
     ordered = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     histogram = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket, so this unpartitioned window sees 2^20 rows at most.
+    # One row per bucket, so this unpartitioned window sees 2^16 rows at most.
     border = (
-        histogram.select("_b", "_n", F.sum("_n").over(ordered).alias("_upto"), F.sum("_n").over(
-            Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        ).alias("_total"))
+        histogram.select("_b", "_n", F.sum("_n").over(ordered).alias("_upto"), F.sum("_n").over(whole).alias("_total"))
         .withColumn("_want", F.ceil(F.col("_total").cast("decimal(30,0)") * F.lit(Decimal(str(share)))).cast("bigint"))
         .where(F.col("_upto") >= F.col("_want"))
-        .agg(F.min_by(F.struct(F.col("_b").alias("b"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("m")), "_b").alias("border"))
-        .select("border.b", "border.m")
+        .select("_b", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_room"))
+        .agg(F.min(F.struct("_b", "_room")))
+        .scalar()
     )
-    bucket = border.select("b").scalar()
-    room = border.select("m").scalar()
+    bucket, room = border["_b"], border["_room"]
     decided = hashed.where(F.col("_b") != bucket).withColumn(
         out, F.when(F.col("_b") < bucket, F.lit("test")).otherwise(F.lit("train"))
     )

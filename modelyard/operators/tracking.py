@@ -18,27 +18,35 @@ PART_BITS = 12
 
 
 def first_metric(metrics: DataFrame, key: str | None = None, dataset: str | None = None) -> DataFrame:
-    """Earliest logged value per model: of one key, or of any key when none is given."""
+    """Earliest logged value per model: of one key, or of any key when none is given.
+
+    The log itself is only aggregated over numbers, which Spark does by hashing and without a sort.
+    """
     chosen = metrics
     if key is not None:
         chosen = chosen.where(F.col("key") == key)
     if dataset is not None:
         chosen = chosen.where(F.col("dataset") == dataset)
+    per_key = chosen.groupBy("model_id", "key").agg(
+        F.min_by("value", "log_seq").alias("value"), F.min("log_seq").alias("_seq")
+    )
+    if key is not None:
+        return per_key.drop("_seq")
     return (
-        chosen.groupBy("model_id")
-        .agg(F.min_by(F.struct("key", "value"), "log_seq").alias("m"))
+        per_key.groupBy("model_id")
+        .agg(F.min_by(F.struct("key", "value"), "_seq").alias("m"))
         .select("model_id", "m.key", "m.value")
     )
 
 
 def latest_metric(metrics: DataFrame, by: Sequence[str] = ("model_id", "key", "dataset")) -> DataFrame:
-    """Value with the highest (step, log_seq) per group; a NULL step counts as the lowest."""
-    position = F.struct(F.coalesce("step", F.lit(-(2**63))), F.col("log_seq"))
-    return (
-        metrics.groupBy(*by)
-        .agg(F.max_by(F.struct("value", "step"), position).alias("m"))
-        .select(*by, "m.value", "m.step")
-    )
+    """Value with the highest (step, log_seq) per group; a NULL step counts as the lowest.
+
+    First the last value of every step, then the last step; both by hashing.
+    """
+    per_step = metrics.groupBy(*by, "step").agg(F.max_by("value", "log_seq").alias("value"))
+    position = F.coalesce("step", F.lit(-(2**63)))
+    return per_step.groupBy(*by).agg(F.max_by("value", position).alias("value"), F.max("step").alias("step"))
 
 
 def score_models(models: DataFrame, metrics: DataFrame, key: str, dataset: str | None = None) -> DataFrame:
@@ -109,17 +117,28 @@ def metric_curve(metrics: DataFrame, by: Sequence[str] = ("model_id", "key")) ->
     )
 
 
+def with_facts(models: DataFrame, facts: DataFrame) -> DataFrame:
+    """Models with their facts; a model without facts stays, once, with NULLs.
+
+    As an inner join plus the models that have none: an inner join may broadcast the models or
+    split a hot model's facts, an outer join from the models could do neither.
+    """
+    known = facts.select("model_id").distinct()
+    bare = models.join(known, "model_id", "left_anti")
+    return models.join(facts, "model_id").unionByName(bare, allowMissingColumns=True)
+
+
 def lineage(models: DataFrame, metrics: DataFrame, datasets: DataFrame, runs: DataFrame) -> DataFrame:
     """Models with the datasets and runs their metrics came from; a model without metrics stays.
 
-    The log is reduced to one row per (model, run, dataset, key) before it is joined, so the joins
-    carry no skew from hot models.  Small dimension tables are broadcast by Spark's own size check.
+    The log is reduced to one row per (model, run, dataset, key) before it is joined.  Small
+    dimension tables are broadcast by Spark's own size check.
     """
     linked = metrics.groupBy("model_id", "run_id", "dataset", "key").agg(
         F.count(F.lit(1)).alias("n_metrics"), F.max_by("value", "log_seq").alias("last_value")
     )
     return (
-        models.join(linked, "model_id", "left")
+        with_facts(models, linked)
         .join(datasets.withColumnRenamed("name", "dataset"), "dataset", "left")
         .join(runs, "run_id", "left")
     )
@@ -127,7 +146,7 @@ def lineage(models: DataFrame, metrics: DataFrame, datasets: DataFrame, runs: Da
 
 def lookup_models(models: DataFrame, wanted: DataFrame) -> DataFrame:
     """Models whose id is in `wanted` (batch form of fetching one by id)."""
-    return models.join(wanted.select("model_id"), "model_id", "left_semi")
+    return models.join(wanted.select("model_id").distinct(), "model_id", "left_semi")
 
 
 def lookup_model(models: DataFrame, model_id: str) -> DataFrame:
@@ -148,7 +167,7 @@ def model_documents(models: DataFrame, metrics: DataFrame, part_bits: int = PART
     )
     attributes = [c for c in models.columns if c != "model_id"]
     empty = F.from_json(F.lit("[]"), parts.schema["metrics"].dataType)
-    return models.join(parts, "model_id", "left").select(
+    return with_facts(models, parts).select(
         "model_id",
         "part",
         F.to_json(

@@ -91,8 +91,9 @@ def train_with_checkpoints(
                 for step, _ in training.checkpoints
             ]
         )
+        order = store.next_log_seq()
         rows = [
-            (run.run_id, model.model_id, "train", "accuracy", float(accuracy[step]), step, i)
+            (run.run_id, model.model_id, "train", "accuracy", float(accuracy[step]), step, order + i)
             for i, (model, (step, _)) in enumerate(zip(logged, training.checkpoints))
         ]
         schema = "run_id string, model_id string, dataset string, key string, value double, step bigint, log_seq bigint"

@@ -80,10 +80,14 @@ class TrackingStore:
     def run(self, run_name: str | None = None) -> "Run":
         return Run(self, run_name)
 
+    @staticmethod
+    def next_log_seq() -> int:
+        """Log positions grow with time: microseconds, plus the position within a batch."""
+        return int(datetime.now(timezone.utc).timestamp() * 1_000_000)
+
     def log_models(self, models: list[dict]) -> list[LoggedModel]:
         """One write for any number of models; ids are assigned, parameters become text."""
-        now = datetime.now(timezone.utc)
-        order = int(now.timestamp() * 1_000_000)
+        order = self.next_log_seq()
         logged, rows = [], []
         for i, model in enumerate(models):
             model_id = f"m-{uuid.uuid4().hex}"
@@ -109,7 +113,7 @@ class TrackingStore:
         step: int | None = None,
     ) -> None:
         """All metrics of one evaluation in one write."""
-        order = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
+        order = self.next_log_seq()
         rows = [
             {
                 "run_id": run_id,

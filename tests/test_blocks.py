@@ -31,12 +31,12 @@ def test_numbered_equals_window(rows, bits):
 @pytest.mark.parametrize("bits", [1, 4, 16])
 def test_with_next_equals_lead(rows, bits):
     plain = rows.withColumn("next", F.lead("v").over(Window.partitionBy("g").orderBy("n")))
-    assert _as_set(with_next(rows, ["g"], "n", F.col("v"), "next", bits)) == _as_set(plain)
+    assert _as_set(with_next(rows, ["g"], "n", ["v"], bits=bits)) == _as_set(plain)
 
 
 def test_with_next_passes_null_values(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("a", 40, 1.0)], "g string, n bigint, v double")
-    got = {r["n"]: r["next"] for r in with_next(df, ["g"], "n", F.col("v"), "next", 2).collect()}
+    got = {r["n"]: r["next_v"] for r in with_next(df, ["g"], "n", ["v"], bits=2).collect()}
     assert got == {1: None, 2: 1.0, 40: None}
 
 

@@ -39,20 +39,18 @@ def token_overlap(
             key, *carry, F.size("_r").alias("_size"), (F.col("_r") == F.col("_e")).cast("int").alias("_exact"), one_list.alias("_t")
         )
         .select(key, *carry, "_size", "_exact", F.posexplode_outer("_t").alias("_pos", "token"))
-        .groupBy(key, "token")
+        .groupBy(key, *carry, "token")
         .agg(
             F.count_if(is_response).alias("r"),
             F.count_if(~is_response & F.col("token").isNotNull()).alias("e"),
             F.max("_exact").alias("_exact"),
-            *[F.max(c).alias(c) for c in carry],
         )
     )
-    totals = counted.groupBy(key).agg(
+    totals = counted.groupBy(key, *carry).agg(
         F.sum(F.least("r", "e")).alias("n_common"),
         F.sum("r").alias("n_response"),
         F.sum("e").alias("n_expected"),
         F.max("_exact").alias("exact_match"),
-        *[F.max(c).alias(c) for c in carry],
     )
     return totals.withColumn("precision", ratio(F.col("n_common"), F.col("n_response"))).withColumn(
         "recall", ratio(F.col("n_common"), F.col("n_expected"))

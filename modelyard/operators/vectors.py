@@ -1,4 +1,4 @@
-"""Exact nearest vectors by cosine similarity.
+"""Nearest vectors by cosine similarity: exact, or among the vectors of matching hash buckets.
 
 A block of vectors is compared with a block of queries as one matrix product and only the best k per
 query leave the task.  Few queries travel to every task (after their size was checked); many queries
@@ -11,9 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from modelyard.functions.scalars import dot_arrays
 from modelyard.operators.blocks import top_k
+from modelyard.sources.shared import cut_lineage
 
 # Queries up to this many bytes of DOUBLEs are sent to every task.
 BROADCAST_BYTES = 32 << 20
@@ -130,6 +134,59 @@ def nearest(
             hits = _scan(vectors, queries, k)
     else:
         hits = _blocks(vectors, queries, vectors.count(), size["n"], k)
-    return top_k(
-        hits, ["query_id"], [F.desc("similarity"), F.asc("vec_id")], k, spread=F.col("vec_id")
-    ).select("query_id", "rank", "vec_id", "similarity")
+    return _ranked(hits, k)
+
+
+def _bucketed(df: DataFrame, id_column: str, lsh: BucketedRandomProjectionLSHModel | None = None, **options):
+    """(id, unit, buckets): unit vector and its bucket in every hash table; with the fitted hashes.
+
+    On unit vectors the order by distance, which the hashes follow, is the order by cosine.
+    """
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    unit = F.transform("embedding", lambda x: F.coalesce(F.try_divide(x.cast("double"), F.col("_norm")), F.lit(0.0)))
+    units = df.select(id_column, "embedding", norm.alias("_norm")).select(id_column, unit.alias("unit"))
+    units = units.withColumn("_x", array_to_vector("unit"))
+    if lsh is None:
+        lsh = BucketedRandomProjectionLSH(inputCol="_x", outputCol="_h", **options).fit(units)
+    buckets = F.transform("_h", lambda h: F.get(vector_to_array(h), F.lit(0)).cast("bigint"))
+    return lsh.transform(units).select(id_column, "unit", buckets.alias("buckets")), lsh
+
+
+def nearest_in_buckets(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    bucket_length: float = 0.5,
+    tables: int = 6,
+    seed: int = 1,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """k nearest among the vectors that share a hash bucket with the query, re-ranked exactly.
+
+    Approximate in which vectors are found, exact in their similarity.  Queries whose buckets hold
+    fewer than k vectors are answered by the exact search.
+    """
+    v, lsh = _bucketed(vectors, "vec_id", bucketLength=bucket_length, numHashTables=tables, seed=seed)
+    q, _ = _bucketed(queries, "query_id", lsh)
+    v = v.select("vec_id", F.col("unit").alias("_v"), F.col("buckets").alias("_vb"), F.posexplode("buckets").alias("_t", "_b"))
+    q = q.select("query_id", F.col("unit").alias("_q"), F.col("buckets").alias("_qb"), F.posexplode("buckets").alias("_t", "_b"))
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("d")).first()
+    if size["n"] * tables * (size["d"] + tables) * 8 <= broadcast_bytes:
+        q = F.broadcast(q)
+    # A pair that meets in several tables counts in the first of them, which needs no shuffle.
+    first_meeting = F.array_position(F.zip_with("_vb", "_qb", lambda a, b: a == b), True) - 1
+    hits = (
+        v.join(q, ["_t", "_b"])
+        .where(first_meeting == F.col("_t"))
+        .select("query_id", "vec_id", dot_arrays(F.col("_v"), F.col("_q")).alias("similarity"))
+    )
+    found = cut_lineage(_ranked(hits, k))
+    answered = found.where(F.col("rank") == k).select("query_id")
+    short = queries.join(answered, "query_id", "left_anti")
+    exact = nearest(vectors, short, k, broadcast_bytes)
+    return found.join(answered, "query_id", "left_semi").unionByName(exact)
+
+
+def _ranked(hits: DataFrame, k: int) -> DataFrame:
+    order = [F.desc("similarity"), F.asc("vec_id")]
+    return top_k(hits, ["query_id"], order, k, spread=F.col("vec_id")).select("query_id", "rank", "vec_id", "similarity")

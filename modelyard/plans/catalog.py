@@ -467,12 +467,9 @@ def checkpoint_accuracy(spark, base):
     )
 
 
-@query
-def vector_topk(spark, base):
-    """Ten nearest vectors to the mean vector of every class."""
-    table = standins.features(spark, base)
-    # Mean vectors: one row per class and feature, gathered in feature order.
-    means = (
+def _class_means(table: DataFrame) -> DataFrame:
+    """Mean vector of every class as a query: one row per class, features gathered in order."""
+    return (
         _mean_vectors(table, ["label"])
         .groupBy("label")
         .agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("pairs"))
@@ -481,7 +478,20 @@ def vector_topk(spark, base):
             F.transform("pairs", lambda p: p["value"]).alias("embedding"),
         )
     )
-    found = vectors.nearest(read_table(spark, base, "embeddings"), means, 10)
+
+
+@query
+def vector_topk(spark, base):
+    """Ten nearest vectors to the mean vector of every class."""
+    means = _class_means(standins.features(spark, base))
+    return _rounded(vectors.nearest(read_table(spark, base, "embeddings"), means, 10), 6, "similarity")
+
+
+@query
+def vector_lsh(spark, base):
+    """The same by hash buckets with exact re-ranking; which vectors are found is approximate."""
+    means = _class_means(standins.features(spark, base))
+    found = vectors.nearest_in_buckets(read_table(spark, base, "embeddings"), means, 10)
     return _rounded(found, 6, "similarity")
 
 

@@ -57,3 +57,30 @@ def test_filter_reaches_the_scan(spark, base):
     assert "EqualTo(label,2)" in found._jdf.queryExecution().toString()
     best = {r["query_id"]: r["vec_id"] for r in found.where("rank = 1").collect()}
     assert best and all(k == v for k, v in best.items())
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_buckets_find_most_and_score_exactly(spark, base, broadcast_bytes):
+    from modelyard.sources.tables import read_table
+
+    df = read_table(spark, base, "embeddings")
+    queries = df.where("label = 3").selectExpr("vec_id AS query_id", "embedding")
+    k = 5
+    exact = {(r["query_id"], r["vec_id"]): r["similarity"] for r in vectors.nearest(df, queries, k).collect()}
+    found = vectors.nearest_in_buckets(df, queries, k, broadcast_bytes=broadcast_bytes).collect()
+    assert len(found) == len(exact)  # k for every query
+    pairs = {(r["query_id"], r["vec_id"]): r["similarity"] for r in found}
+    assert len(pairs) == len(found)
+    shared = pairs.keys() & exact.keys()
+    assert all(pairs[p] == pytest.approx(exact[p], abs=1e-9) for p in shared)
+    assert len(shared) / len(exact) > 0.8
+
+
+def test_thin_buckets_fall_back_to_exact_search(tables):
+    df, queries, _, _ = tables
+    thin = vectors.nearest_in_buckets(df, queries, 7, bucket_length=1e-6, tables=1)
+    exact = vectors.nearest(df, queries, 7)
+    key = lambda r: (r["query_id"], r["rank"])
+    got, wanted = sorted(thin.collect(), key=key), sorted(exact.collect(), key=key)
+    assert [key(r) for r in got] == [key(r) for r in wanted]
+    assert [r["similarity"] for r in got] == pytest.approx([r["similarity"] for r in wanted], abs=1e-9)

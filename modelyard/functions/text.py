@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # The articles that answer normalisation leaves out.
@@ -34,3 +37,24 @@ def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
         if hits:
             row = ((row + hits) | (row - hits)) & mask
     return len(a) - row.bit_count()
+
+
+def shared_counts(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Size of the multiset intersection of two token lists, for every row of a batch at once."""
+    n = len(a)
+    if n == 0:
+        return np.zeros(0, np.int64)
+    a_values, b_values = a.flatten(), b.flatten()
+    codes = pa.concat_arrays([a_values, b_values]).dictionary_encode()
+    width = max(1, len(codes.dictionary))
+
+    def counted(lists: pa.Array, part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        row_and_token = np.repeat(np.arange(n, dtype=np.int64), lengths) * width + part.to_numpy(zero_copy_only=False)
+        return np.unique(row_and_token, return_counts=True)
+
+    split = len(a_values)
+    a_keys, a_counts = counted(a, codes.indices[:split])
+    b_keys, b_counts = counted(b, codes.indices[split:])
+    shared, i, j = np.intersect1d(a_keys, b_keys, assume_unique=True, return_indices=True)
+    return np.bincount(shared // width, np.minimum(a_counts[i], b_counts[j]), minlength=n).astype(np.int64)

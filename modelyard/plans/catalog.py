@@ -591,29 +591,28 @@ def predict_batch(spark, base):
 
 @query
 def token_f1(spark, base):
-    scored = evaluation.token_overlap(standins.responses(spark, base), "request_id", "response", "expected")
-    return _rounded(scored, 6, "precision", "recall", "f1")
+    scored = evaluation.token_overlap(standins.responses(spark, base), "response", "expected")
+    return _rounded(scored.drop("lang", "response", "expected"), 6, "precision", "recall", "f1")
 
 
 @query
 def eval_rows(spark, base):
     """Result table of an evaluation: request, response, expected and the scores of each row."""
-    paired = messages.pair_turns(read_table(spark, base, "conversations")).withColumn(
-        "request_id", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    )
+    request_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    paired = messages.pair_turns(read_table(spark, base, "conversations"))
     items = read_table(spark, base, "benchmark").select("item_id", F.col("text").alias("expected"))
     n_items = items.agg(F.count(F.lit(1))).scalar()
-    rows = paired.withColumn("item_id", F.col("conv_id") % n_items).join(items, "item_id")
-    scores = evaluation.token_overlap(rows, "request_id", "response", "expected")
-    result = rows.select("request_id", "request", "response", "expected").join(scores, "request_id")
-    return _rounded(result, 6, "precision", "recall", "f1")
+    rows = (
+        paired.withColumn("item_id", F.col("conv_id") % n_items)
+        .join(items, "item_id")
+        .select(request_id.alias("request_id"), "request", "response", "expected")
+    )
+    return _rounded(evaluation.token_overlap(rows, "response", "expected"), 6, "precision", "recall", "f1")
 
 
 @query
 def eval_summary(spark, base):
-    scored = evaluation.token_overlap(
-        standins.responses(spark, base), "request_id", "response", "expected", carry=["lang"]
-    )
+    scored = evaluation.token_overlap(standins.responses(spark, base), "response", "expected")
     summary = evaluation.summarise(scored, ["lang"])
     return _rounded(summary, 6, "exact_match", "precision", "recall", "f1")
 

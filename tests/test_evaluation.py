@@ -57,7 +57,7 @@ def test_token_overlap_equals_counters(pairs):
         wanted[row["i"]] = (common, len(r), len(e), int(r == e), pytest.approx(f1), row["g"])
     got = {
         r["i"]: (r["n_common"], r["n_response"], r["n_expected"], r["exact_match"], r["f1"], r["g"])
-        for r in evaluation.token_overlap(pairs, "i", "r", "e", carry=["g"]).collect()
+        for r in evaluation.token_overlap(pairs, "r", "e").collect()
     }
     assert got == wanted
 
@@ -71,6 +71,10 @@ def test_rouge_equals_table(pairs):
             assert row["lcs_precision"] == pytest.approx(row["lcs"] / len(r))
 
 
+def test_token_overlap_does_not_shuffle(pairs):
+    assert "Exchange" not in evaluation.token_overlap(pairs, "r", "e")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_long_texts_are_scored_whole():
     a = [str(i % 997) for i in range(20000)]
     assert lcs_length(a, a) == 20000
@@ -88,7 +92,7 @@ def test_tool_calls_as_sets(spark):
 
 
 def test_summary(pairs):
-    scored = evaluation.token_overlap(pairs, "i", "r", "e", carry=["g"])
+    scored = evaluation.token_overlap(pairs, "r", "e")
     got = {r["g"]: r["n_rows"] for r in evaluation.summarise(scored, ["g"]).collect()}
     assert sum(got.values()) == 64 and set(got) == {"g0", "g1", "g2"}
 

@@ -25,25 +25,53 @@ _NEW = T.ArrayType(MESSAGE)
 
 
 class Tools:
-    """Functions by name, each a column expression of the call's argument text; usable from SQL too."""
+    """Functions of a call's argument text, looked up by name.
 
-    def __init__(self, functions: Mapping[str, Callable[[Column], Column]] | None = None) -> None:
-        self._functions = dict(functions or {})
+    Column functions stay in the JVM; a function built into Spark needs no code, only its name.
+    Python functions get all arguments of a batch at once.
+    """
 
-    def add(self, name: str, function: Callable[[Column], Column]) -> None:
-        if name in self._functions:
+    def __init__(
+        self,
+        functions: Mapping[str, Callable[[Column], Column]] | None = None,
+        python: Mapping[str, Callable[[pd.Series], pd.Series]] | None = None,
+    ) -> None:
+        self._functions: dict[str, Callable[[Column], Column]] = {}
+        self.python: dict[str, Callable[[pd.Series], pd.Series]] = {}
+        for name, function in (functions or {}).items():
+            self.add(name, function)
+        for name, function in (python or {}).items():
+            self.add_python(name, function)
+
+    def _check_new(self, name: str) -> None:
+        if name in self._functions or name in self.python:
             raise ValueError(f"tool already there: {name}")
+
+    def add(self, name: str, function: Callable[[Column], Column]) -> None:
+        self._check_new(name)
         self._functions[name] = function
 
+    def add_builtin(self, *names: str) -> None:
+        """Spark's own functions, by their names."""
+        for name in names:
+            self.add(name, lambda arguments, name=name: F.call_function(name, arguments))
+
+    def add_python(self, name: str, function: Callable[[pd.Series], pd.Series]) -> None:
+        self._check_new(name)
+        self.python[name] = function
+
     def names(self) -> list[str]:
-        return sorted(self._functions)
+        return sorted([*self._functions, *self.python])
 
     def result(self, name: Column, arguments: Column) -> Column:
-        """Result text of a call; a name that is not registered gives an error text, not a failure."""
+        """Result text of a call; NULL for Python tools, which run in a stage of their own.  A name
+        that is not there gives an error text, not a failure."""
         outcome = F.concat(F.lit("unknown tool: "), F.coalesce(name, F.lit("")))
         for known, function in self._functions.items():
             value = F.coalesce(function(arguments).cast("string"), F.lit(""))
             outcome = F.when(name == known, value).otherwise(outcome)
+        if self.python:
+            outcome = F.when(name.isin(*self.python), F.lit(None).cast("string")).otherwise(outcome)
         return outcome
 
 
@@ -93,7 +121,38 @@ def _with_tool_results(state: DataFrame, tools: Tools) -> DataFrame:
             F.from_json(F.lit(None).cast("string"), T.ArrayType(TOOL_CALL)).alias("tool_calls"),
         ),
     )
-    return state.withColumn("new_messages", F.concat("new_messages", results))
+    answered = state.withColumn("new_messages", F.concat("new_messages", results))
+    return _with_python_results(answered, tools.python) if tools.python else answered
+
+
+def _with_python_results(state: DataFrame, functions: Mapping[str, Callable[[pd.Series], pd.Series]]) -> DataFrame:
+    """Fills in the results of Python tools: one call per tool and batch."""
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lists = [[_as_dict(m) for m in messages] for messages in batch["new_messages"]]
+            waiting: dict[str, list[tuple[dict, str | None]]] = {}
+            for messages in lists:
+                asking = max(i for i, m in enumerate(messages) if m["role"] != "tool")
+                for call, answer in zip(messages[asking]["tool_calls"], messages[asking + 1 :]):
+                    if call["name"] in functions:
+                        waiting.setdefault(call["name"], []).append((answer, call["arguments"]))
+            for name, calls in waiting.items():
+                results = functions[name](pd.Series([arguments for _, arguments in calls], dtype=object))
+                for (answer, _), result in zip(calls, results):
+                    answer["content"] = "" if result is None else str(result)
+            yield batch.assign(new_messages=lists)
+
+    return state.mapInPandas(fill, state.schema)
+
+
+def _as_dict(message) -> dict:
+    """A message as Arrow hands it over, with plain calls."""
+    plain = message.asDict() if hasattr(message, "asDict") else dict(message)
+    calls = plain["tool_calls"]
+    if calls is not None:
+        plain["tool_calls"] = [c.asDict() if hasattr(c, "asDict") else dict(c) for c in calls]
+    return plain
 
 
 def run_agent(
@@ -137,7 +196,7 @@ def run_agent(
 
 
 def predict_once(requests: DataFrame, predict: Callable[[pd.Series], pd.Series], request: str, out: str = "response") -> DataFrame:
-    """One response per request row, in Arrow batches; the function is built once per worker."""
+    """One response per request row; the function gets the requests of a batch at once."""
     schema = T.StructType([*requests.schema.fields, T.StructField(out, T.StringType())])
 
     def respond(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -91,9 +91,9 @@ def summarise(rows: DataFrame, by: Sequence[str] = (), extra: Mapping[str, Colum
 
 
 def schema_conformance(df: DataFrame, signature: T.StructType) -> DataFrame:
-    """Each column of the signature or the table: expected and actual type, status, NULL counts.
+    """Each column of the signature or the table: expected and actual type, status, NULL count, range.
 
-    Types are compared from metadata; the counts of all columns come from one aggregate.
+    Types are compared from metadata; the facts about all columns come from one aggregate.
     """
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     expected = {f.name: f.dataType.simpleString() for f in signature.fields}
@@ -107,20 +107,27 @@ def schema_conformance(df: DataFrame, signature: T.StructType) -> DataFrame:
 
     names = sorted(actual.keys() | expected.keys())
     present = [n for n in names if n in actual]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{n}`")).alias(f"_n{i}") for i, n in enumerate(present)]
-    )
-    text = T.StringType()
-    entries = [
-        F.struct(
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    facts = [F.count(F.lit(1)).alias("_rows")]
+    for i, n in enumerate(present):
+        column = F.col(f"`{n}`")
+        facts.append(F.count(column).alias(f"_n{i}"))
+        if n in numeric:
+            facts += [F.min(column).cast("double").alias(f"_low{i}"), F.max(column).cast("double").alias(f"_high{i}")]
+    counts = df.agg(*facts)
+
+    def entry(n: str) -> Column:
+        i = present.index(n) if n in actual else None
+        ranged = i is not None and n in numeric
+        return F.struct(
             F.lit(n).alias("column"),
-            F.lit(expected.get(n)).cast(text).alias("expected"),
-            F.lit(actual.get(n)).cast(text).alias("actual"),
+            F.lit(expected.get(n)).cast("string").alias("expected"),
+            F.lit(actual.get(n)).cast("string").alias("actual"),
             F.lit(status(n)).alias("status"),
-            (
-                F.col("_rows") - F.col(f"_n{present.index(n)}") if n in actual else F.lit(None).cast("bigint")
-            ).alias("n_null"),
+            (F.col("_rows") - F.col(f"_n{i}") if i is not None else F.lit(None).cast("bigint")).alias("n_null"),
+            (F.col(f"_low{i}") if ranged else F.lit(None).cast("double")).alias("lowest"),
+            (F.col(f"_high{i}") if ranged else F.lit(None).cast("double")).alias("highest"),
         )
-        for n in names
-    ]
+
+    entries = [entry(n) for n in names]
     return counts.select(F.col("_rows").alias("n_rows"), F.inline(F.array(*entries)))

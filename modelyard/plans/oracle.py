@@ -137,7 +137,9 @@ FROM events""",
     "q_schema_conformance": """
 SELECT count(*) AS n_rows, c AS "column", expected, actual, status,
        CASE c WHEN 'event_id' THEN count(*) - count(event_id) WHEN 'event_type' THEN count(*) - count(event_type)
-              WHEN 'props' THEN count(*) - count(props) WHEN 'value' THEN count(*) - count(value) END AS n_null
+              WHEN 'props' THEN count(*) - count(props) WHEN 'value' THEN count(*) - count(value) END AS n_null,
+       CASE c WHEN 'event_id' THEN min(event_id)::double WHEN 'value' THEN min(value) END AS lowest,
+       CASE c WHEN 'event_id' THEN max(event_id)::double WHEN 'value' THEN max(value) END AS highest
 FROM events, (VALUES ('event_id', 'bigint', 'bigint', 'ok'), ('event_type', 'string', 'string', 'ok'),
   ('props', NULL, 'string', 'unexpected'), ('step', 'bigint', NULL, 'missing'),
   ('value', 'float', 'double', 'type_mismatch')) AS s(c, expected, actual, status)

@@ -102,7 +102,14 @@ def test_conformance(spark):
     signature = T.StructType(
         [T.StructField("id", T.LongType()), T.StructField("value", T.FloatType()), T.StructField("gone", T.LongType())]
     )
-    got = {r["column"]: (r["status"], r["n_null"], r["n_rows"]) for r in evaluation.schema_conformance(df, signature).collect()}
+    rows = evaluation.schema_conformance(df, signature).collect()
+    assert {r["column"]: (r["lowest"], r["highest"]) for r in rows} == {
+        "id": (1.0, 2.0),
+        "value": (2.0, 2.0),
+        "extra": (None, None),
+        "gone": (None, None),
+    }
+    got = {r["column"]: (r["status"], r["n_null"], r["n_rows"]) for r in rows}
     assert got == {
         "id": ("ok", 0, 2),
         "value": ("type_mismatch", 1, 2),

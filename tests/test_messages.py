@@ -143,3 +143,21 @@ def test_predict_once(spark):
     df = spark.createDataFrame([(1, "ab"), (2, "c")], "i int, request string")
     got = agents.predict_once(df, lambda text: text.str.upper(), "request").collect()
     assert {(r["i"], r["request"], r["response"]) for r in got} == {(1, "ab", "AB"), (2, "c", "C")}
+
+
+def test_builtin_and_python_tools(spark):
+    tools = agents.Tools(python={"count": lambda arguments: arguments.str.len(), "back": lambda arguments: arguments.str[::-1]})
+    tools.add_builtin("upper", "md5")
+    assert tools.names() == ["back", "count", "md5", "upper"]
+
+    def ask_all(batch):
+        rows = []
+        for new in batch["new_messages"]:
+            calls = [{"id": n, "name": n, "arguments": "abc"} for n in ("count", "upper", "missing", "back", "md5")]
+            rows.append(("assistant", None, calls) if len(new) == 0 else ("assistant", "done", None))
+        return pd.DataFrame(rows, columns=["role", "content", "tool_calls"])
+
+    got = agents.run_agent(_turns(spark, [0, 0, 0]), ask_all, tools).collect()
+    for conversation in range(3):
+        answers = [r["content"] for r in sorted(got, key=lambda r: r["seq"]) if r["conv_id"] == conversation and r["role"] == "tool"]
+        assert answers == ["3", "ABC", "unknown tool: missing", "cba", "900150983cd24fb0d6963f7d28e17f72"]

@@ -125,7 +125,8 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return x.reshape(len(y), -1).astype(np.float64), y
 
 
-def _gradient(rows: DataFrame, shape: Shape, flat: np.ndarray, tasks: int) -> tuple[np.ndarray, float, int]:
+def _partial_sums(rows: DataFrame, shape: Shape, flat: np.ndarray) -> DataFrame:
+    """(pos, v): [gradient..., loss, rows] summed over each task's rows."""
     size = shape.size + 2
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,11 +137,21 @@ def _gradient(rows: DataFrame, shape: Shape, flat: np.ndarray, tasks: int) -> tu
         if held[-1] > 0:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(held)], ["pos", "v"])
 
-    sums = rows.mapInArrow(partial, _SUMS)
+    return rows.mapInArrow(partial, _SUMS)
+
+
+def gradient_table(df: DataFrame, features: str, label: str, shape: Shape, flat: np.ndarray) -> DataFrame:
+    """(pos, v) over all rows: one row per weight, then the loss and the number of rows, all as sums."""
+    sums = _partial_sums(training_rows(df, features, label), shape, flat)
+    return sums.groupBy("pos").agg(F.sum("v").alias("v"))
+
+
+def _gradient(rows: DataFrame, shape: Shape, flat: np.ndarray, tasks: int) -> tuple[np.ndarray, float, int]:
+    sums = _partial_sums(rows, shape, flat)
     if tasks > _DIRECT_TASKS:
         sums = sums.groupBy("pos").agg(F.sum("v").alias("v"))
     collected = sums.toArrow()
-    summed = np.bincount(collected["pos"].to_numpy(), collected["v"].to_numpy(), minlength=size)
+    summed = np.bincount(collected["pos"].to_numpy(), collected["v"].to_numpy(), minlength=shape.size + 2)
     n_rows = int(summed[-1])
     if n_rows == 0:
         raise ValueError("no rows to train on")

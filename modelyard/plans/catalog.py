@@ -442,6 +442,15 @@ def mlp_score(spark, base):
     )
 
 
+@query
+def mlp_gradient(spark, base):
+    """One full-batch gradient at the same weights: a sum per weight, then loss and rows."""
+    layers = network.Shape(WIDTH, network.HIDDEN, CLASSES)
+    table = standins.features(spark, base)
+    sums = network.gradient_table(table, "features", "label", layers, formula_weights(layers))
+    return _rounded(sums, 6, "v")
+
+
 def _network_shape(table: DataFrame) -> network.Shape:
     facts = projections.shape_summary(table, F.col("features"), F.col("label")).first()
     return network.Shape(facts["max_features"], network.HIDDEN, facts["n_classes"])

@@ -107,23 +107,46 @@ overlap AS (
   FROM rated)"""
 
 
-def _mlp_sql() -> str:
-    """Forward pass of the 64-16-10 network whose i-th weight is ((37 i + 11) mod 65 - 32) / 64."""
-    hidden, first = 16, 16 * WIDTH
-    second = first + hidden
-    weight = "(((({i}) * 37 + 11) % 65) - 32) / 64.0::double"
-    w1 = weight.format(i=f"h * {WIDTH} + j")
-    b1 = weight.format(i=f"{first} + h")
-    w2 = weight.format(i=f"{second} + c * {hidden} + h")
-    b2 = weight.format(i=f"{second + CLASSES * hidden} + c")
-    return f"""WITH x AS (
-  SELECT vec_id, embedding[j + 1]::double AS x, j FROM embeddings, range({WIDTH}) AS js(j)),
+_HIDDEN = 16
+_B1 = _HIDDEN * WIDTH
+_W2 = _B1 + _HIDDEN
+_B2 = _W2 + CLASSES * _HIDDEN
+
+
+def _weight(position: str) -> str:
+    """The i-th weight of the 64-16-10 network is ((37 i + 11) mod 65 - 32) / 64."""
+    return f"(((({position}) * 37 + 11) % 65) - 32) / 64.0::double"
+
+
+_FORWARD = f"""x AS (
+  SELECT vec_id, label, embedding[j + 1]::double AS x, j FROM embeddings, range({WIDTH}) AS js(j)),
 h AS (
-  SELECT vec_id, h, greatest(sum(x * {w1}) + {b1}, 0.0) AS a FROM x, range({hidden}) AS hs(h) GROUP BY vec_id, h),
+  SELECT vec_id, label, h, greatest(sum(x * {_weight(f"h * {WIDTH} + j")}) + {_weight(f"{_B1} + h")}, 0.0) AS a
+  FROM x, range({_HIDDEN}) AS hs(h) GROUP BY vec_id, label, h),
 z AS (
-  SELECT vec_id, c, sum(a * {w2}) + {b2} AS score FROM h, range({CLASSES}) AS cs(c) GROUP BY vec_id, c)
+  SELECT vec_id, label, c, sum(a * {_weight(f"{_W2} + c * {_HIDDEN} + h")}) + {_weight(f"{_B2} + c")} AS score
+  FROM h, range({CLASSES}) AS cs(c) GROUP BY vec_id, label, c)"""
+
+_MLP_SCORE = f"""WITH {_FORWARD}
 SELECT vec_id, arg_max(c, (score, -c)) AS predicted, round(max(score), 6) AS top_score FROM z GROUP BY vec_id"""
 
+_MLP_GRADIENT = f"""WITH {_FORWARD},
+top AS (SELECT vec_id, max(score) AS m FROM z GROUP BY vec_id),
+total AS (SELECT z.vec_id, m, sum(exp(score - m)) AS s FROM z JOIN top USING (vec_id) GROUP BY ALL),
+d AS (SELECT z.vec_id, z.c, exp(score - m) / s - (c = label)::int AS d FROM z JOIN total USING (vec_id)),
+back AS (
+  SELECT h.vec_id, h.h, sum(d * {_weight(f"{_W2} + c * {_HIDDEN} + h")}) AS b
+  FROM h JOIN d USING (vec_id) WHERE a > 0 GROUP BY h.vec_id, h.h),
+sums AS (
+  SELECT h * {WIDTH} + j AS pos, sum(b * x) AS v FROM back JOIN x USING (vec_id) GROUP BY h, j
+  UNION ALL SELECT {_B1} + h, sum(b) FROM back GROUP BY h
+  UNION ALL SELECT {_W2} + c * {_HIDDEN} + h, sum(d * a) FROM d JOIN h USING (vec_id) GROUP BY c, h
+  UNION ALL SELECT {_B2} + c, sum(d) FROM d GROUP BY c
+  UNION ALL SELECT {_B2} + {CLASSES}, sum(ln(s) + m - score) FROM z JOIN total USING (vec_id) WHERE c = label
+  UNION ALL SELECT {_B2} + {CLASSES} + 1, count(*) FROM embeddings),
+positions AS (SELECT unnest(range({_B2} + {CLASSES} + 2)) AS pos)
+SELECT pos::int AS pos, round(coalesce(v, 0.0), 6) AS v FROM positions LEFT JOIN sums USING (pos)"""
+
 
 ORACLE: dict[str, str] = {
     "q_source_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
@@ -291,7 +314,8 @@ scored AS (
   SELECT 'm-' || model AS model_id, dataset, (label = model)::int::double AS y, list_dot_product(embedding::double[], w) AS p
   FROM features, w)
 SELECT model_id, dataset, {_bundle('y', 'p', 6)} FROM scored GROUP BY model_id, dataset""",
-    "q_mlp_score": _mlp_sql(),
+    "q_mlp_score": _MLP_SCORE,
+    "q_mlp_gradient": _MLP_GRADIENT,
     "q_vector_topk": f"""
 WITH {FEATURES},
 x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS idx FROM features),

@@ -60,10 +60,13 @@ class TrackingStore:
                 for f in schema.fields
             ]
         )
-        writer = selected.write.mode("append")
-        if table in _PARTITIONED_BY:
-            writer = writer.partitionBy(*_PARTITIONED_BY[table])
-        writer.parquet(self._path(table))
+        columns = _PARTITIONED_BY.get(table)
+        if columns is None:
+            selected.write.mode("append").parquet(self._path(table))
+        else:
+            # Rebalanced, so that every key is written as few files and a hot key by many tasks.
+            balanced = selected.hint("rebalance", *columns)
+            balanced.write.mode("append").partitionBy(*columns).parquet(self._path(table))
 
     def read(self, table: str) -> DataFrame:
         schema = _TABLES[table]

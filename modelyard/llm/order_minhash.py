@@ -138,13 +138,13 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Null texts are empty; rows without an id come last; rows with equal ids are ordered by a hash of
     their texts; rows with equal id and text share one place and all results.  A single document is its
-    own next one; an empty table gives no rows; other columns are ignored.
+    own next one; an empty table gives no rows; other columns are ignored.  An id of -2^63 is taken for null.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
     # ~id falls as the id rises and never overflows; a null id goes to the end.
+    # The id is told from the place again, so that both joins read one and the same shuffle of the texts.
     rows = rows.select(
-        "doc_id",
         F.coalesce(F.bitwise_not("doc_id"), F.lit(_LAST)).alias("place"),
         F.xxhash64("text").alias("check"),
         "text",
@@ -171,7 +171,7 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     signed = with_signature(with_signature(pairs, "text", "own"), "edited", "changed")
     kept = materialise(
         signed.select(
-            "doc_id", "place", "check", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own", "changed"
+            F.when(F.col("place") != _LAST, F.bitwise_not("place")).alias("doc_id"), "place", "check", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own", "changed"
         ),
         "signatures",
     )

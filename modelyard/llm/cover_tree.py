@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 _FANOUT = 16
 _LEAF = 64
+_QUERY_LEAF = 8  # small, so that the queries of a node are alike
 _BLOCK = 1 << 14
 _SHRINK = 1.3
 _SEEDS = 2048  # rows whose scores give the first lower bounds
@@ -33,19 +34,18 @@ class Node:
     children: list["Node"] = field(default_factory=list)
     worst: float = -np.inf  # of a query node: the smallest k-th score below it
 
-    @property
-    def norm(self) -> float:
-        return float(np.linalg.norm(self.centre))
+    def __post_init__(self) -> None:
+        self.norm = float(np.linalg.norm(self.centre))
 
 
-def build(points: np.ndarray, rows: np.ndarray | None = None, centre: int | None = None) -> Node:
+def build(points: np.ndarray, leaf: int, rows: np.ndarray | None = None, centre: int | None = None) -> Node:
     """Cover tree of some rows of `points`; the centre of a node is one of its points."""
     rows = np.arange(len(points)) if rows is None else rows
     centre = int(rows[0]) if centre is None else centre
     here = points[rows]
     apart = np.linalg.norm(here - points[centre], axis=1)
     node = Node(points[centre], float(apart.max(initial=0.0)), rows)
-    if len(rows) <= _LEAF or node.radius == 0.0:
+    if len(rows) <= leaf or node.radius == 0.0:
         return node
     centres, owner, nearest = [centre], np.zeros(len(rows), np.int64), apart
     while len(centres) < _FANOUT and nearest.max() > node.radius / _SHRINK:
@@ -57,9 +57,9 @@ def build(points: np.ndarray, rows: np.ndarray | None = None, centre: int | None
         nearest = np.where(closer, to_new, nearest)
     if len(centres) == 1:  # everything but a few rows sits at the centre
         half = np.argsort(apart, kind="stable")
-        node.children = [build(points, rows[part]) for part in np.array_split(half, 2)]
+        node.children = [build(points, leaf, rows[part]) for part in np.array_split(half, 2)]
     else:
-        node.children = [build(points, rows[owner == i], c) for i, c in enumerate(centres) if (owner == i).any()]
+        node.children = [build(points, leaf, rows[owner == i], c) for i, c in enumerate(centres) if (owner == i).any()]
     return node
 
 
@@ -71,14 +71,14 @@ class Search:
         self.scores = [np.empty(0, np.int64) for _ in ids]
         self.found = [np.empty(0, np.int64) for _ in ids]
         self.kth = floor.astype(np.float64)  # a candidate below this is not among the best k
-        self.tree = build(queries.astype(np.float64))
+        self.tree = build(queries.astype(np.float64), _QUERY_LEAF)
         self.norms = float(np.abs(queries).max(initial=0))
         self.pairs = 0
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         data = vectors.astype(np.float64)
         exact = self.norms * float(np.abs(vectors).max(initial=0)) * max(1, vectors.shape[1]) < _EXACT
-        self._walk(self.tree, build(data), ids, vectors, data if exact else None)
+        self._walk(self.tree, build(data, _LEAF), ids, vectors, data if exact else None)
 
     def _bound(self, q: Node, d: Node) -> float:
         bound = float(q.centre @ d.centre) + q.norm * d.radius + d.norm * q.radius + q.radius * d.radius

@@ -40,8 +40,9 @@ SECOND_PERSON = frozenset(
 LEET = str.maketrans("013457@$!|+", "oieastasiit")
 
 _WORDS = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$!|+*._\-]+[^\W\d_]+)+")
-_SPACED = re.compile(r"\b(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b")
+_INNER = re.compile(r"[0-9@$!|+*._\-](?=[^\W\d_])")
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-ÞА-Я]{3,}")
+_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:[0-9@$!|+*._\-]+[^\W\d_]+)+")
 _LOUD = re.compile(r"[!?*$%&#@]{2,}")
 _BETWEEN = re.compile(r"[^\w]+|_+|\d+")
 
@@ -51,10 +52,6 @@ FEATURES = (
 ).split()
 
 
-def words_of(text: str) -> list[str]:
-    return _WORDS.findall(text.lower())
-
-
 def _unmasked(token: str) -> Iterator[str]:
     """Plain spellings that an obfuscated word may stand for."""
     low = token.lower()
@@ -83,37 +80,58 @@ def stems(word: str) -> list[str]:
     return [word[:n] + "*" for n in _STEMS if len(word) > n]
 
 
-class Lexicon:
-    """Weight of a word: that of its entry or of its heaviest stem, 0 if it has none."""
+class Memo(dict):
+    """Answers by lower-case token (what white space separates); each token is looked into once."""
 
-    def __init__(self, weights: dict[str, float]) -> None:
-        self._weights, self._known = weights, {}
+    def __init__(self, answer) -> None:
+        self._answer = answer
 
-    def __getitem__(self, word: str) -> float:
-        found = self._known.get(word)
-        if found is None:
-            if len(self._known) > _FLUSH:
-                self._known.clear()
-            found = self._known[word] = max(self._weights.get(k, 0.0) for k in (word, *stems(word)))
+    def __missing__(self, token: str):
+        if len(self) > _FLUSH:
+            self.clear()
+        found = self[token] = self._answer(token)
         return found
 
 
-def features(text: str, lexicon: Lexicon, classes: Classes) -> list[float]:
-    words = words_of(text)
+def lexicon_memo(weights: dict[str, float]) -> Memo:
+    """Weight of a token: the heaviest of its words and their stems, 0 if none is in the lexicon."""
+    return Memo(
+        lambda token: max((weights.get(k, 0.0) for w in _WORDS.findall(token) for k in (w, *stems(w))), default=0.0)
+    )
+
+
+def second_person_memo() -> Memo:
+    return Memo(lambda token: not SECOND_PERSON.isdisjoint(_WORDS.findall(token)))
+
+
+def spaced_out(words: list[str]) -> list[str]:
+    """Words whose letters stand apart: four or more tokens of one character in a row, joined."""
+    alone = [i for i, w in enumerate(words) if len(w) == 1]
+    found, first = [], 0
+    for here in range(1, len(alone) + 1):
+        if here == len(alone) or alone[here] != alone[here - 1] + 1:
+            if here - first > 3:
+                found.append("".join(words[i] for i in alone[first:here]))
+            first = here
+    return found
+
+
+def features(text: str, lexicon: Memo, second: Memo, classes: Classes) -> list[float]:
+    words = text.lower().split()
     n = len(words)
     kinds = classes.counts(text)
     chars = max(1, len(text))
     at = [i for i, w in enumerate(words) if lexicon[w]]
     weights = sorted((lexicon[words[i]] for i in at), reverse=True)
-    near = sum(any(w in SECOND_PERSON for w in words[max(0, i - _NEAR) : i + _NEAR + 1]) for i in at)
-    masked = _MASKED.findall(text) + _SPACED.findall(text)
+    near = sum(any(second[w] for w in words[max(0, i - _NEAR) : i + _NEAR + 1]) for i in at)
+    masked = (_MASKED.findall(text) if _INNER.search(text) else []) + spaced_out(words)
     masked_hits = sum(any(lexicon[w] for w in _unmasked(m)) for m in masked)
     dense, low = 0, 0
     for high, place in enumerate(at):
         while place - at[low] >= _WINDOW:
             low += 1
         dense = max(dense, high - low + 1)
-    loud = sum(1 for w in _WORDS.findall(text) if len(w) > 2 and w.isupper()) if kinds[3] else 0
+    loud = len(_CAPITALS.findall(text))
     per = 1000.0 / max(1, n)
     return [
         float(np.log1p(n)),
@@ -124,7 +142,7 @@ def features(text: str, lexicon: Lexicon, classes: Classes) -> list[float]:
         sum(weights[:3]),
         float(dense),
         near * per,
-        sum(w in SECOND_PERSON for w in words) * per,
+        sum([second[w] for w in words]) * per,
         kinds[3] / chars,
         loud * per,
         kinds[5] / chars,
@@ -249,6 +267,7 @@ class Model:
 def _texts_by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """word, and in how many toxic and other texts of either half it occurs."""
     seen: dict[str, list[int]] = {}
+    entries = Memo(lambda token: [k for w in _WORDS.findall(token) for k in (w, *stems(w))])
 
     def rows() -> pa.RecordBatch:
         counts = np.array(list(seen.values()), np.int64).reshape(-1, 4)
@@ -258,8 +277,7 @@ def _texts_by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for text, label, half in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "half"))):
-            words = set(words_of(text))
-            for word in words.union(*map(stems, words)):
+            for word in set().union(*map(entries.__getitem__, set(text.lower().split()))):
                 counts = seen.get(word)
                 if counts is None:
                     counts = seen[word] = [0, 0, 0, 0]
@@ -338,10 +356,10 @@ def train(
     sides = [second, first]  # each half by the other's lexicon
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, lexicons = Classes(), [Lexicon(side) for side in sides]
+        classes, lexicons, second = Classes(), [lexicon_memo(side) for side in sides], second_person_memo()
         for batch in batches:
             halves = batch.column("half").to_pylist()
-            made = [features(t, lexicons[h], classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
+            made = [features(t, lexicons[h], second, classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), batch.column("half"), pa.array(made, pa.list_(pa.float64()))], ["label", "half", "x"]
             )
@@ -361,10 +379,10 @@ def _scorer(model: Model, out: str):
     """The model, whose size is bounded, travels with the function."""
 
     def start():
-        classes, lexicon = Classes(), Lexicon(model.lexicon)
+        classes, lexicon, second = Classes(), lexicon_memo(model.lexicon), second_person_memo()
 
         def work(texts: list[str]) -> dict[str, list]:
-            x = np.array([features(t, lexicon, classes) for t in texts]).reshape(-1, len(FEATURES))
+            x = np.array([features(t, lexicon, second, classes) for t in texts]).reshape(-1, len(FEATURES))
             return {out: model.score(x)}
 
         return work

@@ -100,10 +100,6 @@ def lexicon_memo(weights: dict[str, float]) -> Memo:
     )
 
 
-def second_person_memo() -> Memo:
-    return Memo(lambda token: not SECOND_PERSON.isdisjoint(_WORDS.findall(token)))
-
-
 def spaced_out(words: list[str]) -> list[str]:
     """Words whose letters stand apart: four or more tokens of one character in a row, joined."""
     alone = [i for i, w in enumerate(words) if len(w) == 1]
@@ -116,14 +112,14 @@ def spaced_out(words: list[str]) -> list[str]:
     return found
 
 
-def features(text: str, lexicon: Memo, second: Memo, classes: Classes) -> list[float]:
+def features(text: str, lexicon: Memo, classes: Classes) -> list[float]:
     words = text.lower().split()
     n = len(words)
     kinds = classes.counts(text)
     chars = max(1, len(text))
     at = [i for i, w in enumerate(words) if lexicon[w]]
     weights = sorted((lexicon[words[i]] for i in at), reverse=True)
-    near = sum(any(second[w] for w in words[max(0, i - _NEAR) : i + _NEAR + 1]) for i in at)
+    near = sum(any(w in SECOND_PERSON for w in words[max(0, i - _NEAR) : i + _NEAR + 1]) for i in at)
     masked = (_MASKED.findall(text) if _INNER.search(text) else []) + spaced_out(words)
     masked_hits = sum(any(lexicon[w] for w in _unmasked(m)) for m in masked)
     dense, low = 0, 0
@@ -142,7 +138,7 @@ def features(text: str, lexicon: Memo, second: Memo, classes: Classes) -> list[f
         sum(weights[:3]),
         float(dense),
         near * per,
-        sum([second[w] for w in words]) * per,
+        sum([w in SECOND_PERSON for w in words]) * per,
         kinds[3] / chars,
         loud * per,
         kinds[5] / chars,
@@ -356,10 +352,10 @@ def train(
     sides = [second, first]  # each half by the other's lexicon
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, lexicons, second = Classes(), [lexicon_memo(side) for side in sides], second_person_memo()
+        classes, lexicons = Classes(), [lexicon_memo(side) for side in sides]
         for batch in batches:
             halves = batch.column("half").to_pylist()
-            made = [features(t, lexicons[h], second, classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
+            made = [features(t, lexicons[h], classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), batch.column("half"), pa.array(made, pa.list_(pa.float64()))], ["label", "half", "x"]
             )
@@ -379,10 +375,10 @@ def _scorer(model: Model, out: str):
     """The model, whose size is bounded, travels with the function."""
 
     def start():
-        classes, lexicon, second = Classes(), lexicon_memo(model.lexicon), second_person_memo()
+        classes, lexicon = Classes(), lexicon_memo(model.lexicon)
 
         def work(texts: list[str]) -> dict[str, list]:
-            x = np.array([features(t, lexicon, second, classes) for t in texts]).reshape(-1, len(FEATURES))
+            x = np.array([features(t, lexicon, classes) for t in texts]).reshape(-1, len(FEATURES))
             return {out: model.score(x)}
 
         return work

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 # The two address forms and the endpoint suffix.
@@ -77,9 +75,19 @@ def is_truthy_list(items: Column) -> Column:
 
 
 def dot_literals(features: Column, weights: list[float], intercept: float) -> Column:
-    """Linear score as plain arithmetic over array elements, so it stays in generated code."""
-    terms = [F.get(features, F.lit(i)).cast("double") * F.lit(float(w)) for i, w in enumerate(weights) if w != 0.0]
-    return reduce(lambda a, b: a + b, terms, F.lit(float(intercept)))
+    """Linear score of any width: the weights are array literals, so the expression stays flat.
+
+    A row without features has no score.
+    """
+    used = [(i, float(w)) for i, w in enumerate(weights) if w != 0.0]
+    score = F.lit(float(intercept))
+    if used:
+        places, values = zip(*used)
+        terms = F.zip_with(
+            F.lit(list(places)), F.lit(list(values)), lambda i, w: F.get(features, i).cast("double") * w
+        )
+        score = F.aggregate(terms, score, lambda acc, x: acc + x)
+    return F.when(features.isNotNull(), score)
 
 
 def dot_arrays(a: Column, b: Column) -> Column:

@@ -19,7 +19,8 @@ def _paired_target(y: Column, p: Column) -> Column:
 
 
 def paired_rows(y: Column, p: Column) -> Column:
-    return F.count(_error(y, p))
+    """Rows that have both sides; labels may be text."""
+    return F.count(F.when(y.isNotNull() & p.isNotNull(), F.lit(1)))
 
 
 def mse(y: Column, p: Column) -> Column:

@@ -14,15 +14,6 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def spread_over_cores(table: DataFrame) -> DataFrame:
-    """A plain scan of fewer partitions than cores is spread before costly work on its rows.
-
-    Only ever true for small inputs; larger ones stay where they are, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def table_from_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """Literal table with a declared schema; for hand-written evaluation sets, not for data."""
     return spark.createDataFrame(rows, schema)

@@ -107,3 +107,15 @@ def test_score_skips_null_features(spark):
     got = [r["prediction"] for r in linear.score(df, "features", linear.LinearModel((2.0,), 1.0)).collect()]
     assert got == [3.0, None]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_wide_rows_and_rows_without_features(spark):
+    from modelyard.functions.scalars import dot_literals
+
+    width = 5000
+    weights = [float(i % 7 - 3) for i in range(width)]
+    df = spark.createDataFrame([(1, [0.5] * width), (2, None)], "id int, features array<double>")
+    rows = {r["id"]: r["p"] for r in df.select("id", dot_literals(df.features, weights, 0.25).alias("p")).collect()}
+    assert abs(rows[1] - (0.25 + 0.5 * sum(weights))) < 1e-9 and rows[2] is None
+    zero = {r["id"]: r["p"] for r in df.select("id", dot_literals(df.features, [0.0], 0.25).alias("p")).collect()}
+    assert zero == {1: 0.25, 2: None}

@@ -93,3 +93,9 @@ def test_metric_rows_and_gap(spark):
     df = spark.createDataFrame([("m", "train", 1.0, 5.0), ("m", "test", 3.0, 4.0)], "model_id string, dataset string, a double, b double")
     gap = metrics.train_test_gap(metrics.metric_rows(df, ["a", "b"], ["model_id", "dataset"]))
     assert {(r["key"], r["gap"]) for r in gap.collect()} == {("a", 2.0), ("b", -1.0)}
+
+
+def test_classifier_bundle_takes_text_labels(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), (None, "b")], "y string, p string")
+    row = metrics.evaluate(df, "y", "p", model_type="classifier").first()
+    assert row["n"] == 2 and row["accuracy"] == 0.5

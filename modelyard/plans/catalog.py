@@ -724,7 +724,7 @@ def resource_manifest(spark, base):
 
 
 def _streamed_log(spark: SparkSession, base: str) -> DataFrame:
-    stream = metric_log.read_log(spark, base, "events.parquet")
+    stream = metric_log.read_log(spark, f"{base}/events.parquet")
     return stream.select(
         standins.model_key("user_id").alias("model_id"),
         F.col("event_type").alias("key"),
@@ -740,7 +740,7 @@ def stream_deltas(spark, base):
     calls = (F.col("role") == "assistant") & (F.length("text") % 3 == 0)
     call = F.struct(F.lit("c").alias("id"), F.lit("measure").alias("name"), F.lit("{}").alias("arguments"))
     message = F.struct("role", F.col("text").alias("content"), F.when(calls, F.array(call)).alias("tool_calls"))
-    events = metric_log.read_log(spark, base, "conversations.parquet").select(
+    events = metric_log.read_log(spark, f"{base}/conversations.parquet").select(
         "conv_id",
         F.col("turn").alias("event_seq"),
         F.create_map(F.lit("agent"), F.struct(F.array(message).alias("messages"))).alias("event"),

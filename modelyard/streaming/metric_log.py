@@ -20,15 +20,19 @@ def as_instant(column: str) -> Column:
     return F.expr(f"{_EPOCH_INSTANT} + (`{column}` - {_EPOCH_LOCAL})")
 
 
-def read_log(
-    spark: SparkSession, folder: str, pattern: str = "*.parquet", max_files_per_trigger: int | None = None
-) -> DataFrame:
-    """File stream over the parquet files of a folder whose names match; the schema is taken from them."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(folder)
+FILES_PER_TRIGGER = 64
+
+
+def read_log(spark: SparkSession, table: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """File stream over a parquet table, be it one file or a folder of files; its schema is the table's.
+
+    A micro-batch takes a bounded number of files, so that state can be freed between batches.
+    """
+    schema = spark.read.parquet(table).schema
+    # A stream takes a single file only through a pattern; this one matches the table and nothing else.
+    table = table.rstrip("/")
+    only = f"{table[:-1]}[{table[-1]}]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(only)
 
 
 def deduplicated(log: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:

@@ -22,7 +22,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_only_known_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert {n for n in set(queries()) - set(oracle_sql()) if n.startswith("q_")} == ROWS_ONLY
     assert set(oracle_sql()) <= set(queries())
 
 

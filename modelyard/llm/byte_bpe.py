@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
@@ -15,6 +15,8 @@ from modelyard.llm.common import derive, documents
 # ahead beyond the white space it stands in.
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 CHUNK = 1 << 16
+# Unicode's white space, which is the pattern's.
+_BLANKS = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 
 
 def encoding(rank_file: str, pattern: str, special: dict[str, int] | None = None):
@@ -39,6 +41,30 @@ def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
         yield text[start:]
 
 
+def parts(text: str, special: Iterable[str] = (), size: int = CHUNK) -> Iterator[tuple[str, bool]]:
+    """(part, is one match) of a text: chunks, and runs of more than `size` white space.
+
+    The library's regex fails on a run of hundreds of thousands of blanks.  The pattern takes all of
+    it, less the last character if a character follows that is neither white space nor of `special`.
+    """
+    start = 0
+    for run in re.finditer(f"{_BLANKS}{{{size + 1},}}", text) if len(text) > size else ():
+        end = run.end()
+        if end < len(text) and not any(text.startswith(s, end) for s in special):
+            end -= 1
+        yield from ((c, False) for c in chunks(text[start : run.start()], size))
+        yield text[run.start() : end], True
+        start = end
+    yield from ((c, False) for c in chunks(text[start:], size))
+
+
+def encode_text(bpe, text: str, size: int = CHUNK) -> Iterator[list[int]]:
+    """Ids of a text without special tokens, a list for each part."""
+    for part, whole in parts(text, size=size):
+        # A match goes to the library as bytes of one piece, past its regex.
+        yield bpe._encode_single_piece(part) if whole else bpe.encode_ordinary(part)
+
+
 def _digests(rank_file: str, pattern: str):
     def start():
         bpe = encoding(rank_file, pattern)
@@ -48,8 +74,7 @@ def _digests(rank_file: str, pattern: str):
             made = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             for text in texts:
                 n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
-                for part in chunks(text):
-                    ids = bpe.encode_ordinary(part)
+                for ids in encode_text(bpe, text):
                     if n:
                         of_ids.update(b",")
                     of_ids.update(",".join([names[i] for i in ids]).encode())
@@ -72,7 +97,7 @@ def encode(
 
     def start():
         bpe = encoding(rank_file, pattern)
-        return lambda texts: {"ids": [[i for part in chunks(t) for i in bpe.encode_ordinary(part)] for t in texts]}
+        return lambda texts: {"ids": [[i for ids in encode_text(bpe, t) for i in ids] for t in texts]}
 
     return derive(documents(docs, id_col, text_col), start, "ids array<int>")
 

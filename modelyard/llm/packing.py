@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from modelyard.llm.byte_bpe import chunks, encoding
+from modelyard.llm.byte_bpe import encoding, parts
 from modelyard.llm.common import derive, documents, materialise
 
 Pattern = tuple[int, tuple[int, ...]]  # how many packs, the lengths in each
@@ -89,8 +89,11 @@ def _piece_maker(rank_file: str, pattern: str, special: dict[str, int], end_id:
         def work(texts: list[str]) -> dict[str, list]:
             made = {"pieces": []}
             for text in texts:
-                parts = [bpe.encode_to_numpy(c, allowed_special="all") for c in chunks(text)]
-                ids = np.concatenate([*parts, np.array([end_id])]).astype("<u4")
+                made_ids = [
+                    bpe._encode_single_piece(part) if whole else bpe.encode_to_numpy(part, allowed_special="all")
+                    for part, whole in parts(text, special)
+                ]
+                ids = np.concatenate([*made_ids, np.array([end_id])]).astype("<u4")
                 made["pieces"].append(
                     [
                         {

@@ -79,6 +79,31 @@ def test_chunks_do_not_change_ids():
         assert [i for p in parts for i in bpe.encode_ordinary(p)] == bpe.encode_ordinary(text)
 
 
+def test_runs_of_white_space_do_not_change_ids():
+    bpe = byte_bpe.encoding(RANKS, public_tokenizers.PATTERN, SPECIAL)
+    runs = ["       a", "\n\n\n\n\n\nb", "  \t \u3000 \x85\x1c  ", "      <|endoftext|>", "x \r\n \n    .", "\u2003" * 9]
+    text = "".join(runs) * 3 + "q" + " " * 12
+    for size in (1, 2, 3, 5, 60):
+        found = list(byte_bpe.parts(text, SPECIAL, size))
+        assert "".join(p for p, _ in found) == text
+        ids = [i for p, one in found for i in (bpe._encode_single_piece(p) if one else bpe.encode(p, allowed_special="all"))]
+        assert ids == bpe.encode(text, allowed_special="all")
+        assert [i for part in byte_bpe.encode_text(bpe, text, size) for i in part] == bpe.encode_ordinary(text)
+
+
+def test_white_space_longer_than_the_library_can_match(spark):
+    text = "a" + " " * 1_500_000 + "b"
+    df = spark.createDataFrame([(1, text), (2, "\n" * 1_200_000)], "doc_id bigint, text string")
+    bpe = byte_bpe.encoding(MULTI_RANKS, public_tokenizers.PATTERN)
+    wanted = [*bpe.encode_ordinary("a"), *bpe._encode_single_piece(" " * 1_499_999), *bpe.encode_ordinary(" b")]
+    got = {r["doc_id"]: r for r in byte_bpe.round_trip(df, MULTI_RANKS, public_tokenizers.PATTERN).collect()}
+    assert got[1]["ids_sha256"] == hashlib.sha256(",".join(map(str, wanted)).encode()).hexdigest()
+    assert got[1]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    packed = packing.pack(df, RANKS, public_tokenizers.PATTERN, SPECIAL).collect()
+    lengths = {i: sum(r["length"] for r in packed if r["doc_id"] == i) for i in (1, 2)}
+    assert lengths == {r["doc_id"]: r["doc_tokens"] for r in packed}
+
+
 @pytest.mark.parametrize("name", ["awkward", "given"])
 def test_packing_holds_each_id_once(request, name):
     from tokenizers import Tokenizer

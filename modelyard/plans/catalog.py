@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {}
 
 WIDTH = 64
 CLASSES = 10
+LATE = 97
 PROMPT = "Answer briefly."
 
 
@@ -723,8 +724,7 @@ def resource_manifest(spark, base):
 # --- streams ----------------------------------------------------------------------------------
 
 
-def _streamed_log(spark: SparkSession, base: str) -> DataFrame:
-    stream = metric_log.read_log(spark, f"{base}/events.parquet")
+def _streamed_log(stream: DataFrame) -> DataFrame:
     return stream.select(
         standins.model_key("user_id").alias("model_id"),
         F.col("event_type").alias("key"),
@@ -734,6 +734,10 @@ def _streamed_log(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def _events_stream(spark: SparkSession, base: str) -> DataFrame:
+    return _streamed_log(metric_log.read_log(spark, f"{base}/events.parquet"))
+
+
 @query
 def stream_deltas(spark, base):
     path = scratch_path(spark, "deltas")
@@ -754,7 +758,7 @@ def stream_deltas(spark, base):
 def stream_dedup(spark, base):
     """Every log row arrives twice; one of the two is kept."""
     path = scratch_path(spark, "dedup")
-    twice = _streamed_log(spark, base).unionByName(_streamed_log(spark, base))
+    twice = _events_stream(spark, base).unionByName(_events_stream(spark, base))
     kept = metric_log.deduplicated(twice, ["model_id", "key", "log_seq"])
     metric_log.append_to(kept, f"{path}/rows", f"{path}/progress").awaitTermination()
     return spark.read.schema(kept.schema).parquet(f"{path}/rows").select("model_id", "key", "value", "log_seq")
@@ -762,16 +766,20 @@ def stream_dedup(spark, base):
 
 @query
 def stream_best(spark, base):
-    path = scratch_path(spark, "best")
-    board = metric_log.VersionedTable(spark, f"{path}/board")
-    metric_log.follow_best(_streamed_log(spark, base), ["model_id", "key"], board, f"{path}/progress").awaitTermination()
-    return board.read()
+    path, group = scratch_path(spark, "best"), ["model_id", "key"]
+    metric_log.follow_best(_events_stream(spark, base), group, f"{path}/board", f"{path}/progress").awaitTermination()
+    return metric_log.board(spark.read.parquet(f"{path}/board"), group)
 
 
 @query
 def stream_windows(spark, base):
+    """Two arrivals, the second after the first has moved the watermark: late rows and open windows stay out."""
     path = scratch_path(spark, "windows")
-    table = metric_log.VersionedTable(spark, f"{path}/table")
-    summary = metric_log.windowed_summary(_streamed_log(spark, base), ["key"])
-    metric_log.keep_complete(summary, table, f"{path}/progress").awaitTermination()
-    return _window_rows(table.read())
+    events = read_table(spark, base, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    late = F.col("event_id") % LATE == 0
+    for arrival in (events.where(~late), events.where(late)):
+        arrival.write.mode("append").parquet(f"{path}/in")
+        log = _streamed_log(metric_log.read_log(spark, f"{path}/in", max_files_per_trigger=None))
+        summary = metric_log.windowed_summary(log, ["key"])
+        metric_log.append_to(summary, f"{path}/rows", f"{path}/progress").awaitTermination()
+    return _window_rows(spark.read.schema(summary.schema).parquet(f"{path}/rows"))

@@ -452,4 +452,12 @@ SELECT date_diff('day', DATE '1970-01-01', ts::date) AS day, event_type AS key,
        round(sum(value), 4) AS total, min(value) AS lowest, max(value) AS highest
 FROM events GROUP BY ALL"""
 ORACLE["q_metric_windows"] = _WINDOWS
-ORACLE["q_stream_windows"] = _WINDOWS
+ORACLE["q_stream_windows"] = """
+WITH marks AS (
+  SELECT max(ts) - INTERVAL 1 HOUR AS closed, max(ts) FILTER (event_id % 97 <> 0) - INTERVAL 1 HOUR AS closed_before FROM events),
+seen AS (
+  SELECT ts::date AS day, ts::date + INTERVAL 1 DAY AS window_end, event_id % 97 = 0 AS late, event_type, value FROM events)
+SELECT date_diff('day', DATE '1970-01-01', day) AS day, event_type AS key, count(*) AS n,
+       round(sum(value), 4) AS total, min(value) AS lowest, max(value) AS highest
+FROM seen, marks WHERE window_end <= closed AND (NOT late OR window_end > closed_before)
+GROUP BY ALL"""

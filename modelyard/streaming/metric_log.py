@@ -1,7 +1,7 @@
 """The metric log as a stream: deduplication, tumbling windows, running best.
 
-File streams in and out: the parquet sink and the `foreachBatch` writer keep their progress in the
-checkpoint location, so a restarted query neither loses nor repeats rows.
+File streams in and out, both append-only: the parquet sink and the `foreachBatch` writer keep their
+progress in the checkpoint location, so a restarted query neither loses nor repeats rows.
 """
 
 from __future__ import annotations
@@ -23,16 +23,20 @@ def as_instant(column: str) -> Column:
 FILES_PER_TRIGGER = 64
 
 
-def read_log(spark: SparkSession, table: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+def read_log(spark: SparkSession, table: str, max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """File stream over a parquet table, be it one file or a folder of files; its schema is the table's.
 
-    A micro-batch takes a bounded number of files, so that state can be freed between batches.
+    A micro-batch takes a bounded number of files, so that state can be freed between batches.  None
+    takes all files at once: for files whose times overlap, read into a state that is small anyway.
     """
     schema = spark.read.parquet(table).schema
     # A stream takes a single file only through a pattern; this one matches the table and nothing else.
     table = table.rstrip("/")
     only = f"{table[:-1]}[{table[-1]}]"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(only)
+    stream = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
+    return stream.parquet(only)
 
 
 def deduplicated(log: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
@@ -41,7 +45,11 @@ def deduplicated(log: DataFrame, keys: list[str], ts: str = "ts", delay: str = "
 
 
 def windowed_summary(log: DataFrame, by: list[str], ts: str = "ts", width: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Count, sum and extremes per tumbling window; rows behind the watermark are dropped."""
+    """Count, sum and extremes per tumbling window.
+
+    Appended as a stream, a window is final and leaves the state once the watermark has passed its
+    end; rows that come later are dropped.
+    """
     return (
         log.withWatermark(ts, delay)
         .groupBy(F.window(ts, width), *by)
@@ -76,68 +84,30 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-class VersionedTable:
-    """A table rewritten as a whole per stream batch: one folder per batch number.
+def follow_best(log: DataFrame, group: list[str], path: str, checkpoint: str) -> StreamingQuery:
+    """Leaderboard: each batch appends the groups it changed, one folder per batch number.
 
-    A repeated batch overwrites its own folder; a reader takes the newest complete one.
+    A repeated batch overwrites its own folder only; `board` reduces what was appended.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(root):
-            return []
-        folders = [status.getPath() for status in system.listStatus(root)]
-        complete = [f.getName() for f in folders if system.exists(hadoop.Path(f, "_SUCCESS"))]
-        return sorted(int(name[2:]) for name in complete if name.startswith("v="))
-
-    def before(self, version: int) -> DataFrame | None:
-        earlier = [v for v in self.versions() if v < version]
-        return self.spark.read.parquet(f"{self.path}/v={earlier[-1]}") if earlier else None
-
-    def write(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+    def append(changes: DataFrame, batch_id: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    def read(self) -> DataFrame:
-        versions = self.versions()
-        if not versions:
-            raise LookupError("no complete version yet")
-        return self.spark.read.parquet(f"{self.path}/v={versions[-1]}")
-
-
-def keep_complete(stream: DataFrame, table: VersionedTable, checkpoint: str) -> StreamingQuery:
-    """Whole result of a streaming aggregation after every batch."""
     return (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(table.write)
+        best_so_far(log, group)
+        .writeStream.outputMode("update")
+        .foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def follow_best(log: DataFrame, group: list[str], table: VersionedTable, checkpoint: str) -> StreamingQuery:
-    """Leaderboard: each batch merges the groups that changed into the version before it."""
-
-    def upsert(changes: DataFrame, batch_id: int) -> None:
-        rows, earlier = changes, table.before(batch_id)
-        if earlier is not None:
-            rows = changes.unionByName(earlier)
-        place = F.struct(F.col("best_value").alias("s"), (-F.col("best_seq")).alias("o"))
-        merged = rows.groupBy(*group).agg(F.max(place).alias("_p"))
-        table.write(
-            merged.select(*group, F.col("_p.s").alias("best_value"), (-F.col("_p.o")).alias("best_seq")), batch_id
-        )
-
+def board(changes: DataFrame, group: list[str]) -> DataFrame:
+    """Newest state of the groups: a best only rises, so the largest of the appended ones is it."""
+    place = F.struct(F.col("best_value").alias("s"), (-F.col("best_seq")).alias("o"))
     return (
-        best_so_far(log, group)
-        .writeStream.outputMode("update")
-        .foreachBatch(upsert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        changes.groupBy(*group)
+        .agg(F.max(place).alias("_p"))
+        .select(*group, F.col("_p.s").alias("best_value"), (-F.col("_p.o")).alias("best_seq"))
     )

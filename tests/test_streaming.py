@@ -61,26 +61,33 @@ def test_leaderboard_equals_batch_and_survives_a_restart(spark, files):
         [_row(4 * b + i, b, value=float((7 * b + 3 * i) % 11), model=f"m{i % 3}") for i in range(4)] for b in range(files)
     ]
     _write(spark, path, *batches)
-    table = metric_log.VersionedTable(spark, f"{out}/board")
 
     def follow():
         log = metric_log.read_log(spark, path, max_files_per_trigger=1)
-        metric_log.follow_best(log, ["model_id"], table, f"{out}/progress").awaitTermination()
+        metric_log.follow_best(log, ["model_id"], f"{out}/board", f"{out}/progress").awaitTermination()
+
+    def board():
+        return metric_log.board(spark.read.parquet(f"{out}/board"), ["model_id"]).collect()
 
     def batch():
         return set(metric_log.best_so_far(spark.read.parquet(path), ["model_id"]).collect())
 
     follow()
-    assert set(table.read().collect()) == batch()
+    assert set(board()) == batch()
     _write(spark, path, [_row(100, 60, value=50.0, model="m1"), _row(101, 60, value=float("nan"), model="m9")])
     follow()
-    assert set(table.read().collect()) == batch()
-    assert {r["model_id"]: r["best_value"] for r in table.read().collect()}["m1"] == 50.0
+    assert set(board()) == batch()
+    assert {r["model_id"]: r["best_value"] for r in board()}["m1"] == 50.0
 
 
-def test_no_version_yet(spark):
-    with pytest.raises(LookupError):
-        metric_log.VersionedTable(spark, scratch_path(spark, "none")).read()
+def test_late_rows_are_dropped_after_a_restart(spark):
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    for arrival in ([_row(1, 0), _row(2, 3 * 1440)], [_row(3, 10), _row(4, 3 * 1440 + 5), _row(5, 9 * 1440)]):
+        _write(spark, path, arrival)
+        summary = metric_log.windowed_summary(metric_log.read_log(spark, path, max_files_per_trigger=None), ["key"])
+        metric_log.append_to(summary, f"{out}/rows", f"{out}/progress").awaitTermination()
+    got = {r["window_start"].day: r["n"] for r in spark.read.parquet(f"{out}/rows").collect()}
+    assert got == {1: 1, 4: 2}
 
 
 def test_delta_stream_equals_batch_flatten(spark, base):

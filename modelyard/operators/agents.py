@@ -1,16 +1,18 @@
 """Batch agents: a responder and tools applied to tables of conversations, round by round.
 
-A responder never needs a whole conversation in one row.  What it sees is a context: aggregates of
-the conversation (`last message` and counts by default, others by the caller) computed once with
-map-side combine, plus the messages produced since.  From there on each conversation is one row and
-every round is a narrow stage.
+Every conversation is one row with a context and the messages produced since, and every round is a
+narrow stage.  The context is computed once: by a `History`, which reads every turn in order and
+keeps what the responder needs of it, or, for responders that need less, by aggregates (the last
+message and counts by default) with map-side combine.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from typing import Any, Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from modelyard.functions.scalars import is_truthy_list
@@ -91,6 +93,56 @@ def conversation_context(turns: DataFrame, context: Mapping[str, Column] | None
     return turns.groupBy("conv_id").agg(*[c.alias(n) for n, c in chosen.items()])
 
 
+class History(Protocol):
+    """How a responder reads a whole conversation: all its turns, in order, a stretch at a time."""
+
+    def start(self) -> Any: ...
+
+    def read(self, memory: Any, roles: list[str | None], texts: list[str | None]) -> Any:
+        """The memory after some more turns; the next stretch goes on from it."""
+
+    def finish(self, memory: Any) -> str | None:
+        """What the responder gets in the column `memory`."""
+
+
+def conversation_memory(turns: DataFrame, history: History) -> DataFrame:
+    """(conv_id, memory): one row per conversation; turns without id make up one conversation.
+
+    The rows of a conversation are sorted on disk where needed and pass through a task in Arrow
+    batches, so that a task holds one batch and one memory, however long the conversation is.  Their
+    order is the result of reading, so one conversation is read by one task.
+    """
+    id_field = turns.schema["conv_id"]
+    schema = T.StructType([id_field, T.StructField("memory", T.StringType())])
+
+    def remember(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory, current, begun, kind = None, None, False, None
+        for batch in batches:
+            ids, roles, texts = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
+            kind = batch.schema.field("conv_id").type
+            done_ids, done, first = [], [], 0
+            for here in range(1, len(ids) + 1):
+                if here < len(ids) and ids[here] == ids[first]:
+                    continue
+                if not begun or ids[first] != current:
+                    if begun:
+                        done_ids.append(current)
+                        done.append(history.finish(memory))
+                    memory, current, begun = history.start(), ids[first], True
+                memory = history.read(memory, roles[first:here], texts[first:here])
+                first = here
+            yield _memories(done_ids, done, kind)
+        if begun:
+            yield _memories([current], [history.finish(memory)], kind)
+
+    ordered = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+    return ordered.mapInArrow(remember, schema)
+
+
+def _memories(ids: list, memories: list, kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(memories, pa.string())], ["conv_id", "memory"])
+
+
 def _with_reply(state: DataFrame, responder: Responder, prompt: str | None) -> DataFrame:
     """Appends one message per row.  The prompt is shown to the responder and not stored."""
 
@@ -162,17 +214,20 @@ def run_agent(
     system_prompt: str | None = None,
     context: Mapping[str, Column] | None = None,
     max_rounds: int | None = None,
+    history: History | None = None,
 ) -> DataFrame:
     """Agent, tools, agent, ... until no message calls tools.
 
     Returns (conv_id, seq, role, content, tool_calls, finished): the new messages only.  Without
     `max_rounds` it goes on until every conversation has ended; with it, the rest is returned with
     `finished` false and can be continued.  Every round is written to the shared folder, so a lost
-    executor costs a part of one round.
+    executor costs a part of one round.  With `history` the responder's rows carry its `memory` of all
+    turns, otherwise the aggregates of `context`.
     """
-    state = conversation_context(turns, context).withColumn(
-        "new_messages", F.from_json(F.lit("[]"), _NEW)
-    )
+    if history is not None and context is not None:
+        raise ValueError("either a history or a context")
+    seen = conversation_context(turns, context) if history is None else conversation_memory(turns, history)
+    state = seen.withColumn("new_messages", F.from_json(F.lit("[]"), _NEW))
     finished: list[DataFrame] = []
     rounds = 0
     while True:

@@ -26,11 +26,16 @@ def positional_split(df: DataFrame) -> DataFrame:
 
 
 def unpack_features(df: DataFrame, array_column: str, width: int, prefix: str = "f") -> DataFrame:
-    """One DOUBLE column per array element, in place of the array."""
+    """One DOUBLE column per array element, in place of the array.
+
+    An array of another length than `width` is an error; a NULL array gives NULLs.
+    """
     kept = [c for c in df.columns if c != array_column]
-    elements = [
-        F.get(F.col(array_column), F.lit(i)).cast("double").alias(f"{prefix}{i}") for i in range(width)
-    ]
+    array = F.col(array_column)
+    fits = array.isNull() | (F.size(array) == width)
+    found = F.concat(F.lit(f"{array_column}: {width} elements expected, found "), F.size(array).cast("string"))
+    checked = F.when(fits, array).otherwise(F.raise_error(found))
+    elements = [F.get(checked, F.lit(i)).cast("double").alias(f"{prefix}{i}") for i in range(width)]
     return df.select(*elements, *kept)
 
 

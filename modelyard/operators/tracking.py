@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from modelyard.operators.blocks import with_previous_and_best
+from modelyard.operators.blocks import BLOCK_BITS, numbered, with_previous_and_best
 
 MISSING = float("-inf")
 PART_BITS = 12
@@ -153,15 +153,25 @@ def lookup_model(models: DataFrame, model_id: str) -> DataFrame:
     return models.where(F.col("model_id") == F.lit(model_id))
 
 
+def _block_bits(log: DataFrame) -> int:
+    """Width of blocks of log positions that hold about 2^BLOCK_BITS rows, however sparse the positions are."""
+    facts = log.agg(F.min("log_seq").alias("low"), F.max("log_seq").alias("high"), F.count("log_seq").alias("n")).first()
+    if not facts["n"]:
+        return BLOCK_BITS
+    return ((facts["high"] - facts["low"] + 1) // max(1, facts["n"] >> BLOCK_BITS)).bit_length()
+
+
 def model_documents(models: DataFrame, metrics: DataFrame, part_bits: int = PART_BITS) -> DataFrame:
     """Models as JSON documents with their metrics.
 
-    A model's metrics come in parts of at most 2^part_bits consecutive log positions, each its own
-    document (`part`), so no document grows with the log.  A model without metrics has one document.
+    A model has one document unless it has more than 2^part_bits metrics; then they come, in the order
+    of the log, in parts of that many, each its own document (`part`).  A model without metrics has one
+    document.
     """
     entry = F.struct("log_seq", "key", "value", "step", "dataset")
+    counted = numbered(metrics, ["model_id"], "log_seq", "_number", bits=_block_bits(metrics))
     parts = (
-        metrics.withColumn("part", F.shiftright("log_seq", part_bits))
+        counted.withColumn("part", F.shiftright(F.col("_number") - 1, part_bits))
         .groupBy("model_id", "part")
         .agg(F.array_sort(F.collect_list(entry)).alias("metrics"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -589,6 +590,46 @@ def agent_batch(spark, base):
     )
 
 
+class _Digest:
+    """A memory that depends on every turn and on their order."""
+
+    def start(self):
+        return hashlib.md5()
+
+    def read(self, memory, roles, texts):
+        for role, text in zip(roles, texts):
+            memory.update(f"{role or ''}:{text or ''}\n".encode())
+        return memory
+
+    def finish(self, memory):
+        return memory.hexdigest()
+
+
+def _digest_responder(batch: pd.DataFrame) -> pd.DataFrame:
+    """Asks a tool about half of the memories, then names what it remembers."""
+    replies = []
+    for memory, new in zip(batch["memory"], batch["new_messages"]):
+        if memory[0] < "8" and not len(new):
+            call = {"id": "call", "name": "upper", "arguments": memory}
+            replies.append({"role": "assistant", "content": "asks", "tool_calls": [call]})
+        else:
+            replies.append({"role": "assistant", "content": f"read: {memory}", "tool_calls": None})
+    return pd.DataFrame(replies, columns=["role", "content", "tool_calls"])
+
+
+@query
+def agent_history(spark, base):
+    """An agent whose answer depends on every turn of its conversation."""
+    tools = agents.Tools()
+    tools.add_builtin("upper")
+    answered = agents.run_agent(
+        read_table(spark, base, "conversations"), _digest_responder, tools, PROMPT, history=_Digest()
+    )
+    return answered.select(
+        "conv_id", "seq", "role", "content", scalars.is_truthy_list(F.col("tool_calls")).alias("calls_tools"), "finished"
+    )
+
+
 @query
 def predict_batch(spark, base):
     requests = read_table(spark, base, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")

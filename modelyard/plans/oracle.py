@@ -255,9 +255,10 @@ SELECT m.model_id, m.name, m.search_order, f.key, f.value
 FROM models m LEFT JOIN first_any f ON m.model_id = f.model_id
 WHERE m.model_id IN (SELECT 'm-' || o_custkey FROM orders WHERE o_orderstatus = 'P')""",
     "q_model_document": f"""
-WITH {MODELS}, {LOG}
-SELECT l.log_seq >> 12 AS part, m.model_id, m.name, l.log_seq, l.key, l.value, l.step, l.dataset
-FROM models m LEFT JOIN log l ON m.model_id = l.model_id""",
+WITH {MODELS}, {LOG},
+placed AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY log_seq) AS place FROM log)
+SELECT (l.place - 1) >> 12 AS part, m.model_id, m.name, l.log_seq, l.key, l.value, l.step, l.dataset
+FROM models m LEFT JOIN placed l ON m.model_id = l.model_id""",
     "q_first_metric": f"""
 WITH {LOG}
 SELECT model_id, arg_min(key, log_seq) AS first_key, arg_min(value, log_seq) AS first_value,
@@ -461,3 +462,11 @@ SELECT date_diff('day', DATE '1970-01-01', day) AS day, event_type AS key, count
        round(sum(value), 4) AS total, min(value) AS lowest, max(value) AS highest
 FROM seen, marks WHERE window_end <= closed AND (NOT late OR window_end > closed_before)
 GROUP BY ALL"""
+ORACLE["q_agent_history"] = """
+WITH memories AS (
+  SELECT conv_id, md5(string_agg(coalesce(role, '') || ':' || coalesce(text, '') || chr(10), '' ORDER BY turn)) AS memory
+  FROM conversations GROUP BY conv_id),
+asking AS (SELECT *, memory[1] IN ('0', '1', '2', '3', '4', '5', '6', '7') AS asks FROM memories)
+SELECT conv_id, 0::bigint AS seq, 'assistant' AS role, 'asks' AS content, true AS calls_tools, true AS finished FROM asking WHERE asks
+UNION ALL SELECT conv_id, 1, 'tool', upper(memory), false, true FROM asking WHERE asks
+UNION ALL SELECT conv_id, CASE WHEN asks THEN 2 ELSE 0 END, 'assistant', 'read: ' || memory, false, true FROM asking"""

@@ -161,3 +161,36 @@ def test_builtin_and_python_tools(spark):
     for conversation in range(3):
         answers = [r["content"] for r in sorted(got, key=lambda r: r["seq"]) if r["conv_id"] == conversation and r["role"] == "tool"]
         assert answers == ["3", "ABC", "unknown tool: missing", "cba", "900150983cd24fb0d6963f7d28e17f72"]
+
+
+class _Transcript:
+    def start(self):
+        return []
+
+    def read(self, memory, roles, texts):
+        return memory + [f"{r}={t}" for r, t in zip(roles, texts)]
+
+    def finish(self, memory):
+        return " ".join(memory)
+
+
+def test_history_reads_all_turns_in_order_over_batches(spark):
+    rows = [(c, t, "user", f"{c}.{t}") for c in (1, 2) for t in range(25)] + [(None, 0, None, None), (3, 0, "user", "")]
+    turns = spark.createDataFrame(rows[::-1], TURNS).withColumn("memory", F.lit("clash"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+        got = {r["conv_id"]: r["memory"] for r in agents.conversation_memory(turns, _Transcript()).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got.keys() == {None, 1, 2, 3} and got[None] == "None=None" and got[3] == "user="
+    assert all(got[c] == " ".join(f"user={c}.{t}" for t in range(25)) for c in (1, 2))
+
+
+def test_history_of_no_turns(spark):
+    assert agents.conversation_memory(spark.createDataFrame([], TURNS), _Transcript()).collect() == []
+
+
+def test_history_and_context_exclude_each_other(spark):
+    with pytest.raises(ValueError):
+        agents.run_agent(_turns(spark, [0]), _countdown, agents.Tools(), context={"n": F.count("*")}, history=_Transcript())

@@ -99,6 +99,13 @@ def test_documents_come_in_parts_and_keep_everything(spark):
     assert bare["metrics"] == [] and bare["name"] == "n"
 
 
+def test_one_document_however_far_apart_the_log_positions(spark):
+    models = spark.createDataFrame([("m", "n", 0)], MODELS)
+    rows = [("m", "d", "k", float(i), i, 1_700_000_000_000_000 + i * 60_000_000) for i in range(40)]
+    (document,) = tracking.model_documents(models, spark.createDataFrame(rows, METRICS)).collect()
+    assert document["part"] == 0 and len(json.loads(document["document"])["metrics"]) == 40
+
+
 def test_lineage_keeps_models_without_metrics(spark, models, log):
     datasets = spark.createDataFrame([("train", 10)], "name string, n_rows bigint")
     runs = spark.createDataFrame([("r", "x")], "run_id string, run_name string")
@@ -117,3 +124,10 @@ def test_lookup(models, spark):
 def test_every_tenth_step_of_101_gives_eleven(spark):
     steps = spark.range(101).withColumnRenamed("id", "step")
     assert projections.every_nth_step(steps, "step", 10).count() == 11
+
+
+def test_arrays_of_another_length_are_an_error(spark):
+    rows = spark.createDataFrame([([1.0, 2.0], 1), (None, 2)], "x array<double>, id int")
+    assert [tuple(r) for r in projections.unpack_features(rows, "x", 2).orderBy("id").collect()] == [(1.0, 2.0, 1), (None, None, 2)]
+    with pytest.raises(Exception, match="3 elements expected, found 2"):
+        projections.unpack_features(rows, "x", 3).collect()

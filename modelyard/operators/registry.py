@@ -35,18 +35,20 @@ def register_versions(arrivals: DataFrame, existing: DataFrame | None = None) ->
 
 def resolve_uris(requests: DataFrame, models: DataFrame, versions: DataFrame, uri: str = "uri") -> DataFrame:
     """Address to model id: `models:/<id>` by id, `models:/<name>/<version>` by version; else NULL."""
-    parsed = requests.withColumn("_subject", uri_subject(F.col(uri))).withColumn("_version", uri_version(F.col(uri)))
-    by_id = models.select(F.col("model_id").alias("_by_id"))
-    by_version = versions.select(
-        F.col("name").alias("_name"), F.col("version").cast("string").alias("_v"), F.col("model_id").alias("_by_version")
+    subject, version = uri_subject(F.col(uri)), uri_version(F.col(uri))
+    # Neither ids nor names hold a slash, so one key serves both forms.
+    key = F.when(subject != "", F.when(version == "", subject).otherwise(F.concat(subject, F.lit("/"), version)))
+    parsed = requests.withColumn("_key", key)
+    named = F.concat("name", F.lit("/"), F.col("version").cast("string"))
+    known = models.select(F.col("model_id").alias("_known"), F.col("model_id").alias("_found")).unionByName(
+        versions.select(named.alias("_known"), F.col("model_id").alias("_found"))
     )
-    id_form = (F.col("_version") == "") & (F.col("_subject") != "")
-    return (
-        parsed.join(by_id, id_form & (F.col("_subject") == F.col("_by_id")), "left")
-        .join(by_version, (F.col("_subject") == F.col("_name")) & (F.col("_version") == F.col("_v")), "left")
-        .withColumn("model_id", F.coalesce("_by_id", "_by_version"))
-        .drop("_subject", "_version", "_by_id", "_name", "_v", "_by_version")
+    # Malformed addresses share one key, so they stay out of the join.
+    found = parsed.where(F.col("_key").isNotNull()).join(known, F.col("_key") == F.col("_known"), "left")
+    malformed = parsed.where(F.col("_key").isNull()).withColumns(
+        {"_known": F.lit(None).cast("string"), "_found": F.lit(None).cast(models.schema["model_id"].dataType)}
     )
+    return found.unionByName(malformed).withColumn("model_id", F.col("_found")).drop("_key", "_known", "_found")
 
 
 def approval_reason(tags: Column, tag: str = DEFAULT_APPROVAL_TAG) -> Column:

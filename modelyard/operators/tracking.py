@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from modelyard.operators.blocks import BLOCK_BITS, numbered, with_previous_and_best
+from modelyard.sources.shared import cut_lineage
 
 MISSING = float("-inf")
 PART_BITS = 12
@@ -73,6 +74,30 @@ def rank_models(models: DataFrame, metrics: DataFrame, key: str, dataset: str |
     )
 
 
+def with_rank(ordered: DataFrame, out: str = "rank") -> DataFrame:
+    """1..n in the order of a globally sorted table, without a window over all rows.
+
+    The sorted table is cut off from its plan, so that its partitions stay as they are; a row's number is
+    its place in its partition plus the rows of the partitions before.
+    """
+    placed = cut_lineage(ordered).withColumn("_id", F.monotonically_increasing_id())
+    # The id holds the partition in its upper bits and the place, from 0, in the lower 33.
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row per partition.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(out, (F.col("_offset") + place + 1).cast("bigint"))
+        .drop("_id", "_part", "_offset")
+    )
+
+
 def best_and_worst(scored: DataFrame, columns: Sequence[str] = ("model_id", "value", "has_metric")) -> DataFrame:
     """First and last of the ranking from one aggregate, without sorting.  No models, no rows."""
     place = F.struct(sort_value(F.col("value")).alias("s"), (-F.col("search_order")).alias("o"))

@@ -318,7 +318,8 @@ def first_metric_of_dataset(spark, base):
 
 @query
 def rank_checkpoints(spark, base):
-    return tracking.rank_models(standins.models(spark, base), standins.metric_log(spark, base), "purchase")
+    ranked = tracking.rank_models(standins.models(spark, base), standins.metric_log(spark, base), "purchase")
+    return tracking.with_rank(ranked)
 
 
 @query

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from modelyard.operators import linear, metrics, network, registry, tracking
+from modelyard.sources.parameters import require
 from modelyard.sources.tables import NamedDataset
 from modelyard.sources.tracking_store import LoggedModel, TrackingStore
 
+EVALUATION = "evaluation"
+
 
 def evaluate_splits(df: DataFrame, model: linear.LinearModel, features: str, label: str, dataset: str) -> DataFrame:
     """Metrics of one model on every dataset of a table, in one pass."""
@@ -43,7 +46,7 @@ def train_and_register(
         )
         store.append("coefficients", model.to_table(store.spark, logged.model_id))
         _log_evaluation(store, train, model, features, label, logged.model_id, run.run_id)
-    with store.run("evaluation") as run:
+    with store.run(EVALUATION) as run:
         loaded = linear.load_model(store.read("coefficients"), logged.model_id)
         _log_evaluation(store, test, loaded, features, label, logged.model_id, run.run_id)
     return logged, store.register(logged.model_id, name)
@@ -74,7 +77,12 @@ def train_with_checkpoints(
     name_prefix: str,
     **options,
 ) -> list[LoggedModel]:
-    """Training run that logs a model and its accuracy on the training rows for every checkpoint."""
+    """Training run that logs a model and its accuracy on the training rows for every checkpoint.
+
+    The logged parameters are those of this run: its layer widths and the options it was given.
+    """
+    params = {"layer_widths": f"{shape.inputs}-{shape.hidden}-{shape.classes}"}
+    params |= {k: v for k, v in options.items() if isinstance(v, (int, float, str))}
     with store.run("training") as run:
         training = network.train(df, features, label, shape, **options)
         accuracy = {
@@ -86,7 +94,7 @@ def train_with_checkpoints(
                     "run_id": run.run_id,
                     "name": f"{name_prefix}-{step}",
                     "step": step,
-                    "params": {"n_layers": 3, "activation": "ReLU", "criterion": "CrossEntropyLoss", "optimizer": "Adam"},
+                    "params": params,
                 }
                 for step, _ in training.checkpoints
             ]
@@ -113,10 +121,31 @@ def best_checkpoint(store: TrackingStore, key: str = "accuracy") -> DataFrame:
     return tracking.best_and_worst(scored, ["model_id", "name", "value", "has_metric"])
 
 
+def load_by_uri(store: TrackingStore, uri: str) -> tuple[str, linear.LinearModel]:
+    """Id and model behind `models:/<id>` or `models:/<name>/<version>`."""
+    asked = store.spark.createDataFrame([(require(uri=uri)["uri"],)], "uri string")
+    (found,) = registry.resolve_uris(asked, store.read("models"), store.read("versions")).collect()
+    if found["model_id"] is None:
+        raise LookupError(f"no model at {uri}")
+    return found["model_id"], linear.load_model(store.read("coefficients"), found["model_id"])
+
+
+def evaluate_version(store: TrackingStore, uri: str, data: NamedDataset, features: str, label: str) -> str:
+    """Score `data` with the model at an address and log its metrics in an evaluation run; the model's id."""
+    model_id, model = load_by_uri(store, uri)
+    with store.run(EVALUATION) as run:
+        _log_evaluation(store, data, model, features, label, model_id, run.run_id)
+    return model_id
+
+
 def promote(
     store: TrackingStore, endpoints: DataFrame, tag: str = registry.DEFAULT_APPROVAL_TAG
 ) -> DataFrame:
-    """Evaluation present -> approved -> endpoint state that should hold."""
-    deployable = registry.deployable_versions(store.read("versions"), store.read("metrics"), tag)
-    return registry.upsert_endpoints(endpoints, registry.desired_endpoints(deployable))
+    """Evaluation present -> approved -> endpoint state that should hold.
 
+    Only metrics of evaluation runs count; a model that was merely trained is not promoted.
+    """
+    runs = store.read("runs").where(F.col("run_name") == EVALUATION).select("run_id").distinct()
+    evaluations = store.read("metrics").join(runs, "run_id", "left_semi")
+    deployable = registry.deployable_versions(store.read("versions"), evaluations, tag)
+    return registry.upsert_endpoints(endpoints, registry.desired_endpoints(deployable))

@@ -269,7 +269,10 @@ WITH {LOG}
 SELECT model_id, 'purchase' AS key, arg_min(value, log_seq) AS value
 FROM log WHERE key = 'purchase' AND dataset = 'test' GROUP BY model_id""",
     "q_rank_checkpoints": f"""
-WITH {SCORED_MODELS} SELECT model_id, name, search_order, value, has_metric FROM scored""",
+WITH {SCORED_MODELS}
+SELECT model_id, name, search_order, value, has_metric,
+       row_number() OVER (ORDER BY coalesce(value, '-inf'::double) DESC, search_order) AS rank
+FROM scored""",
     "q_best_worst": f"""
 WITH {SCORED_MODELS},
 ordered AS (

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from modelyard.operators import network, tracking
+from modelyard.operators import linear, network, tracking
 from modelyard.plans import lifecycle, standins
 from modelyard.schemas import ENDPOINTS
 from modelyard.sources.shared import cut_lineage, scratch_path, shared_dir
@@ -72,6 +72,22 @@ def test_train_evaluate_register(store, spark, base):
     assert {r["name"] for r in store.read("datasets").collect()} == {"train", "test"}
 
 
+def test_version_is_evaluated_by_its_address(store, spark):
+    rows = spark.createDataFrame([([float(i)], 2.0 * i + 1) for i in range(5)], "x array<double>, y double")
+    (model,) = store.log_models([{"name": "line", "params": {}}])
+    store.append("coefficients", linear.LinearModel((2.0,), 1.0).to_table(spark, model.model_id))
+    version = store.register(model.model_id, "main.default.line")
+    address = f"models:/main.default.line/{version}"
+    assert lifecycle.evaluate_version(store, address, NamedDataset(rows, "check"), "x", "y") == model.model_id
+    logged = store.read("metrics").where("dataset = 'check'").collect()
+    assert {r["value"] for r in logged if r["key"] in ("rmse", "mae")} == {0.0}
+    (run,) = store.read("runs").where("run_name = 'evaluation'").collect()
+    assert {r["run_id"] for r in logged} == {run["run_id"]}
+    for absent in ("models:/main.default.line/9", "runs:/x"):
+        with pytest.raises(LookupError):
+            lifecycle.evaluate_version(store, absent, NamedDataset(rows, "check"), "x", "y")
+
+
 def test_checkpoints_rank_and_promote(store, spark, base):
     table = standins.features(spark, base)
     shape = network.Shape(64, 16, 10)
@@ -82,8 +98,12 @@ def test_checkpoints_rank_and_promote(store, spark, base):
     ends = {r["place"]: r["name"] for r in lifecycle.best_checkpoint(store).collect()}
     assert ends == {"best": ranked[0]["name"], "worst": ranked[-1]["name"]}
     best = ranked[0]["model_id"]
+    assert store.read("models").first()["params"] == {"layer_widths": "64-16-10", "epochs": "31", "seed": "1"}
     store.register(best, "main.default.net", {"Approval_Check": "Approved"})
     store.register(best, "main.default.net", {"Approval_Check": "Rejected"})
+    assert lifecycle.promote(store, spark.createDataFrame([], ENDPOINTS)).isEmpty()  # trained, not evaluated
+    with store.run("evaluation") as run:
+        store.log_metrics({"accuracy": 0.5}, best, "test", run.run_id)
     state = lifecycle.promote(store, spark.createDataFrame([], ENDPOINTS)).collect()
     assert [(r["endpoint_name"], r["entity_version"], r["action"]) for r in state] == [
         ("main-default-net-serving-endpoint", 1, "create")

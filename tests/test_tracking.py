@@ -131,3 +131,9 @@ def test_arrays_of_another_length_are_an_error(spark):
     assert [tuple(r) for r in projections.unpack_features(rows, "x", 2).orderBy("id").collect()] == [(1.0, 2.0, 1), (None, None, 2)]
     with pytest.raises(Exception, match="3 elements expected, found 2"):
         projections.unpack_features(rows, "x", 3).collect()
+
+
+def test_ranks_follow_the_order_over_partitions(spark):
+    ordered = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartitionByRange(5, "v").sortWithinPartitions("v")
+    assert [(r["v"], r["rank"]) for r in tracking.with_rank(ordered).orderBy("rank").collect()] == [(i, i + 1) for i in range(1000)]
+    assert tracking.with_rank(ordered.where("v < 0").orderBy("v")).count() == 0

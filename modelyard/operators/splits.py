@@ -39,12 +39,12 @@ def exact_split(
 ) -> DataFrame:
     """Test part of exactly ceil(share * n) rows: those with the smallest key hash.
 
-    A histogram over the top 16 hash bits finds the one bucket that the border falls into; rows
-    outside are decided by comparison, and only that bucket (n / 2^16 rows) is sorted.
+    A histogram over the top 16 hash bits finds the one bucket that the border falls into; the keys of
+    that bucket (n / 2^16) are sorted to find the last test row.  Both passes read the key alone.  Then
+    every row is compared with that last one, in place.
     """
-    hashed = df.withColumn("_h", seeded_hash60(F.col(key), seed)).withColumn(
-        "_b", F.shiftright("_h", HASH_BITS - _BUCKET_BITS)
-    )
+    row_hash = seeded_hash60(F.col(key), seed)
+    hashed = df.select(key, row_hash.alias("_h")).withColumn("_b", F.shiftright("_h", HASH_BITS - _BUCKET_BITS))
     ordered = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     histogram = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -57,14 +57,15 @@ def exact_split(
         .agg(F.min(F.struct("_b", "_room")))
         .scalar()
     )
-    bucket, room = border["_b"], border["_room"]
-    decided = hashed.where(F.col("_b") != bucket).withColumn(
-        out, F.when(F.col("_b") < bucket, F.lit("test")).otherwise(F.lit("train"))
-    )
-    ranked = (
-        hashed.where(F.col("_b") == bucket)
+    last = (
+        hashed.where(F.col("_b") == border["_b"])
         .withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
-        .withColumn(out, F.when(F.col("_r") <= room, F.lit("test")).otherwise(F.lit("train")))
-        .drop("_r")
+        .where(F.col("_r") == border["_room"])
+        .select("_h", F.col(key).alias("_key"))
+        .first()
     )
-    return decided.unionByName(ranked).drop("_h", "_b")
+    if last is None:
+        return df.withColumn(out, F.lit("train"))
+    last_key = F.lit(last["_key"]).cast(df.schema[key].dataType)
+    inside = (row_hash < last["_h"]) | ((row_hash == last["_h"]) & (F.col(key) <= last_key))
+    return df.withColumn(out, F.when(inside, F.lit("test")).otherwise(F.lit("train")))

@@ -46,3 +46,9 @@ def test_exact_share_without_float_error(spark):
 def test_bad_share(spark, share):
     with pytest.raises(ValueError):
         hash_split(spark.range(3), "id", share)
+
+
+def test_exact_split_of_text_keys(spark):
+    rows = spark.range(101).select(F.concat(F.lit("key "), F.col("id").cast("string")).alias("k"), "id")
+    got = exact_split(rows, "k")
+    assert got.where("dataset = 'test'").count() == 21 and got.count() == 101

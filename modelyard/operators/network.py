@@ -112,10 +112,24 @@ class Adam:
 _SUMS = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("v", T.DoubleType())])
 
 
-def training_rows(df: DataFrame, features: str, label: str) -> DataFrame:
-    """FLOAT features and BIGINT class; rows that lack one are left out."""
-    rows = df.select(F.col(features).cast("array<float>").alias("x"), F.col(label).cast("bigint").alias("y"))
-    return rows.where("x is not null and y is not null")
+def training_rows(df: DataFrame, features: str, label: str, shape: Shape | None = None) -> DataFrame:
+    """FLOAT features and BIGINT class; rows that lack one are left out.
+
+    With a shape, a class outside of its range, another number of features or a NULL among them is an error.
+    """
+    rows = df.select(F.col(features).cast("array<float>").alias("x"), F.col(label).cast("bigint").alias("y")).where(
+        "x is not null and y is not null"
+    )
+    if shape is None:
+        return rows
+    y_fits = F.col("y").between(0, shape.classes - 1)
+    x_fits = (F.size("x") == shape.inputs) & ~F.exists("x", lambda e: e.isNull())
+    bad_y = F.concat(F.lit(f"class outside of 0..{shape.classes - 1}: "), F.col("y").cast("string"))
+    bad_x = F.lit(f"features must be {shape.inputs} numbers")
+    return rows.select(
+        F.when(x_fits, F.col("x")).otherwise(F.raise_error(bad_x)).alias("x"),
+        F.when(y_fits, F.col("y")).otherwise(F.raise_error(bad_y)).alias("y"),
+    )
 
 
 def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +156,7 @@ def _partial_sums(rows: DataFrame, shape: Shape, flat: np.ndarray) -> DataFrame:
 
 def gradient_table(df: DataFrame, features: str, label: str, shape: Shape, flat: np.ndarray) -> DataFrame:
     """(pos, v) over all rows: one row per weight, then the loss and the number of rows, all as sums."""
-    sums = _partial_sums(training_rows(df, features, label), shape, flat)
+    sums = _partial_sums(training_rows(df, features, label, shape), shape, flat)
     return sums.groupBy("pos").agg(F.sum("v").alias("v"))
 
 
@@ -172,7 +186,7 @@ def train(
     """Full-batch training; a checkpoint holds the weights after the update of its step."""
     flat = initial_weights(shape, seed) if start is None else start
     optimiser, result = Adam(shape.size, rate), Training(shape)
-    rows = training_rows(df, features, label).coalesce(_MAX_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = training_rows(df, features, label, shape).coalesce(_MAX_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tasks = rows.rdd.getNumPartitions()
         for epoch in range(epochs):

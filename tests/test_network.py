@@ -93,3 +93,12 @@ def test_incomplete_rows_are_left_out(spark):
     rows = [([1.0] * 5, 1), (None, 1), ([1.0] * 5, None)]
     df = spark.createDataFrame(rows, "features array<float>, label int")
     assert network.training_rows(df, "features", "label").count() == 1
+
+
+@pytest.mark.parametrize(
+    "x, y, message", [([1.0, 2.0], 3, "class outside"), ([1.0, 2.0], -1, "class outside"), ([1.0, None], 0, "must be 2 numbers"), ([1.0], 0, "must be 2 numbers")]
+)
+def test_rows_that_do_not_fit_the_network_are_an_error(spark, x, y, message):
+    df = spark.createDataFrame([([1.0, 2.0], 1), (x, y)], "features array<double>, label int")
+    with pytest.raises(Exception, match=message):
+        network.train(df, "features", "label", network.Shape(2, 2, 3), epochs=1)

@@ -798,11 +798,14 @@ def stream_deltas(spark, base):
 
 @query
 def stream_dedup(spark, base):
-    """Every log row arrives twice; one of the two is kept."""
+    """Every log row arrives twice; one of the two is kept.  Rows arrive in order of time, so that none is late."""
     path = scratch_path(spark, "dedup")
-    twice = _events_stream(spark, base).unionByName(_events_stream(spark, base))
-    kept = metric_log.deduplicated(twice, ["model_id", "key", "log_seq"])
-    metric_log.append_to(kept, f"{path}/rows", f"{path}/progress").awaitTermination()
+    events = read_table(spark, base, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    for arrival in metric_log.in_order(events, ["ts", "event_id"], f"{path}/dealt", metric_log.ARRIVAL_ROWS):
+        arrival.write.mode("append").parquet(f"{path}/in")
+        log = _streamed_log(metric_log.read_log(spark, f"{path}/in", max_files_per_trigger=None))
+        kept = metric_log.deduplicated(log.unionByName(log), ["model_id", "key", "log_seq"])
+        metric_log.append_to(kept, f"{path}/rows", f"{path}/progress").awaitTermination()
     return spark.read.schema(kept.schema).parquet(f"{path}/rows").select("model_id", "key", "value", "log_seq")
 
 

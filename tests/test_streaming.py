@@ -2,11 +2,15 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from check_oracle import compare
 from modelyard.operators.messages import flatten_updates
 from modelyard.plans import standins
+from modelyard.plans.catalog import QUERIES
+from modelyard.plans.oracle import ORACLE
 from modelyard.sources.shared import scratch_path
 from modelyard.streaming import deltas, metric_log
 
@@ -33,6 +37,22 @@ def test_repeats_are_dropped_within_the_delay(spark):
     assert sorted(r["log_seq"] for r in spark.read.parquet(f"{out}/rows").collect()) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("arrival_rows", [metric_log.ARRIVAL_ROWS, 150])
+def test_dedup_keeps_all_rows_of_many_files_with_overlapping_times(spark, base, tmp_path, monkeypatch, arrival_rows):
+    monkeypatch.setattr(metric_log, "ARRIVAL_ROWS", arrival_rows)
+    files = 2 * metric_log.FILES_PER_TRIGGER + 6  # a watermark drops rows from the third batch on
+    events = spark.read.parquet(f"{base}/events.parquet").limit(700)
+    events.repartition(files).write.parquet(f"{tmp_path}/events.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert compare(spark, duck, QUERIES["q_stream_dedup"], ORACLE["q_stream_dedup"], str(tmp_path)) is None
+
+
+def test_dedup_of_no_rows(spark, base, tmp_path):
+    spark.read.parquet(f"{base}/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    assert QUERIES["q_stream_dedup"](spark, str(tmp_path)).count() == 0
+
+
 def test_rows_behind_the_watermark_are_dropped(spark):
     path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     # Day 4 moves the watermark, which lateness follows one batch later; then one row just inside and

@@ -13,6 +13,7 @@ driver is their features, and lexicon words up to `_LEXICON`.  Every text is sco
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,9 +41,10 @@ SECOND_PERSON = frozenset(
 LEET = str.maketrans("013457@$!|+", "oieastasiit")
 
 _WORDS = re.compile(r"[^\W\d_]+")
+
 _INNER = re.compile(r"[0-9@$!|+*._\-](?=[^\W\d_])")
-_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-ÞА-Я]{3,}")
 _MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:[0-9@$!|+*._\-]+[^\W\d_]+)+")
+_APART = re.compile(r"[\W_]*[^\W\d_](?:[.\-_*]+[^\W\d_])*[\W_]*")
 _LOUD = re.compile(r"[!?*$%&#@]{2,}")
 _BETWEEN = re.compile(r"[^\w]+|_+|\d+")
 
@@ -81,7 +83,7 @@ def stems(word: str) -> list[str]:
 
 
 class Memo(dict):
-    """Answers by lower-case token (what white space separates); each token is looked into once."""
+    """Answers by token (what white space separates); each token is looked into once."""
 
     def __init__(self, answer) -> None:
         self._answer = answer
@@ -93,41 +95,62 @@ class Memo(dict):
         return found
 
 
-def lexicon_memo(weights: dict[str, float]) -> Memo:
+def weight_of(token: str, weights: dict[str, float]) -> float:
     """Weight of a token: the heaviest of its words and their stems, 0 if none is in the lexicon."""
-    return Memo(
-        lambda token: max((weights.get(k, 0.0) for w in _WORDS.findall(token) for k in (w, *stems(w))), default=0.0)
-    )
+    return max((weights.get(k, 0.0) for w in _WORDS.findall(token) for k in (w, *stems(w))), default=0.0)
+
+
+def apart(token: str) -> str:
+    """The letters of a token that has no two letters side by side, and any single character; else nothing."""
+    return token if len(token) == 1 else "".join(_WORDS.findall(token)) if _APART.fullmatch(token) else ""
+
+
+def token_memo(weights: dict[str, float]) -> Memo:
+    """Of a token: weight, number of words of the second person, letters that stand apart; None if it has none of these."""
+
+    def answer(token: str) -> tuple[float, int, str] | None:
+        found = (weight_of(token, weights), sum(w in SECOND_PERSON for w in _WORDS.findall(token)), apart(token))
+        return found if any(found) else None
+
+    return Memo(answer)
+
+
+def capitals_memo() -> Memo:
+    """Of a token as written: words of three or more letters that are all capitals, of whatever script."""
+    return Memo(lambda token: sum(len(w) > 2 and w.isupper() for w in _WORDS.findall(token)))
 
 
-def spaced_out(words: list[str]) -> list[str]:
-    """Words whose letters stand apart: four or more tokens of one character in a row, joined."""
-    alone = [i for i, w in enumerate(words) if len(w) == 1]
+def spaced_out(alone: list[tuple[int, str]]) -> list[str]:
+    """Words whose letters stand apart: four or more letters of two or more tokens in a row, joined."""
     found, first = [], 0
     for here in range(1, len(alone) + 1):
-        if here == len(alone) or alone[here] != alone[here - 1] + 1:
-            if here - first > 3:
-                found.append("".join(words[i] for i in alone[first:here]))
+        if here == len(alone) or alone[here][0] != alone[here - 1][0] + 1:
+            word = "".join(letters for _, letters in alone[first:here])
+            if here - first > 1 and len(word) > 3:
+                found.append(word)
             first = here
     return found
 
 
-def features(text: str, lexicon: Memo, classes: Classes) -> list[float]:
+def features(text: str, memo: Memo, capitals: Memo, classes: Classes) -> list[float]:
     words = text.lower().split()
     n = len(words)
     kinds = classes.counts(text)
     chars = max(1, len(text))
-    at = [i for i, w in enumerate(words) if lexicon[w]]
-    weights = sorted((lexicon[words[i]] for i in at), reverse=True)
-    near = sum(any(w in SECOND_PERSON for w in words[max(0, i - _NEAR) : i + _NEAR + 1]) for i in at)
-    masked = (_MASKED.findall(text) if _INNER.search(text) else []) + spaced_out(words)
-    masked_hits = sum(any(lexicon[w] for w in _unmasked(m)) for m in masked)
+    told = [(i, k) for i, k in enumerate(map(memo.__getitem__, words)) if k]
+    heavy = [(i, k[0]) for i, k in told if k[0]]
+    at = [i for i, _ in heavy]
+    weights = sorted((w for _, w in heavy), reverse=True)
+    second = [i for i, k in told if k[1]]
+    near = sum(bisect_left(second, i - _NEAR) < bisect_right(second, i + _NEAR) for i in at)
+    masked = (_MASKED.findall(text) if _INNER.search(text) else []) + spaced_out([(i, k[2]) for i, k in told if k[2]])
+    masked_hits = sum(any(k is not None and k[0] > 0 for k in map(memo.__getitem__, _unmasked(m))) for m in masked)
     dense, low = 0, 0
     for high, place in enumerate(at):
         while place - at[low] >= _WINDOW:
             low += 1
         dense = max(dense, high - low + 1)
-    loud = len(_CAPITALS.findall(text))
+    loud = sum([capitals[w] for w in text.split() if not w.islower()]) if kinds[3] else 0
     per = 1000.0 / max(1, n)
     return [
         float(np.log1p(n)),
@@ -138,7 +161,7 @@ def features(text: str, lexicon: Memo, classes: Classes) -> list[float]:
         sum(weights[:3]),
         float(dense),
         near * per,
-        sum([w in SECOND_PERSON for w in words]) * per,
+        sum(k[1] for _, k in told) * per,
         kinds[3] / chars,
         loud * per,
         kinds[5] / chars,
@@ -352,10 +375,10 @@ def train(
     sides = [second, first]  # each half by the other's lexicon
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, lexicons = Classes(), [lexicon_memo(side) for side in sides]
+        classes, memos, capitals = Classes(), [token_memo(side) for side in sides], capitals_memo()
         for batch in batches:
             halves = batch.column("half").to_pylist()
-            made = [features(t, lexicons[h], classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
+            made = [features(t, memos[h], capitals, classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), batch.column("half"), pa.array(made, pa.list_(pa.float64()))], ["label", "half", "x"]
             )
@@ -375,10 +398,10 @@ def _scorer(model: Model, out: str):
     """The model, whose size is bounded, travels with the function."""
 
     def start():
-        classes, lexicon = Classes(), lexicon_memo(model.lexicon)
+        classes, memo, capitals = Classes(), token_memo(model.lexicon), capitals_memo()
 
         def work(texts: list[str]) -> dict[str, list]:
-            x = np.array([features(t, lexicon, classes) for t in texts]).reshape(-1, len(FEATURES))
+            x = np.array([features(t, memo, capitals, classes) for t in texts]).reshape(-1, len(FEATURES))
             return {out: model.score(x)}
 
         return work

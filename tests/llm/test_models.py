@@ -111,6 +111,30 @@ def test_toxicity_of_awkward_rows(spark):
         assert kept.columns == [*docs.columns, "toxic_score"] and kept.count() == 5
 
 
+def _toxic_features(text):
+    made = toxicity.features(text, toxicity.token_memo({"idiot": 2.0}), toxicity.capitals_memo(), toxicity.Classes())
+    return dict(zip(toxicity.FEATURES, made))
+
+
+@pytest.mark.parametrize("token", ["you", "you,", "you!", "you.", '"you', "you're", "(tu)"])
+def test_second_person_is_found_in_the_letters_of_a_token(token):
+    made = _toxic_features(f"{token} idiot")
+    assert made["second_person"] == 500 and made["near_second_person"] == 500
+
+
+@pytest.mark.parametrize(
+    "text, words", [("IDIOT now", 1), ("ΗΛΙΘΙΕ now", 1), ("ԱՊՈՒՇ now", 1), ("ŁŻŹ ЇЖАК", 2), ("XMLParser aBCD 你好吗", 0), ("AB", 0)]
+)
+def test_words_of_capitals_of_all_scripts(text, words):
+    assert _toxic_features(text)["loud_words"] == pytest.approx(words * 1000 / len(text.split()))
+
+
+@pytest.mark.parametrize("text", ["i d i o t", "i d i o t!", "(i d i o t)", "i, d, i, o, t.", "i d-i o.t", "1 d 1 0 t"])
+def test_letters_set_apart_are_joined(text):
+    assert _toxic_features(f"such an {text}")["masked_hits"] >= 1
+    assert _toxic_features("such a b3 c4 d5 e6 row")["masked_hits"] == 0
+
+
 def test_isotonic_steps_rise():
     draw = np.random.default_rng(0)
     margin = draw.normal(size=500)

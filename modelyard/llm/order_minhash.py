@@ -1,10 +1,11 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
-A text is a sequence of tokens (runs of characters other than white space, at most 16 long); its k-mers
-are k tokens in a row.  The j-th occurrence of a k-mer is an element of its own.  A sketch keeps the
-elements with the smallest hashes, in text order; each of the signature's functions picks those of the
-sketch that are minimal under its own hash, keeps them in text order and hashes the tuple.  Texts a few
-edits apart agree in many positions of the signature; the same k-mers in another order do not.
+A text is a sequence of tokens: words, and where white space is more than 16 characters away pieces that end
+at characters chosen by what they are, never by their place, so that an edit changes tokens near it only.
+Its k-mers are k tokens in a row.  The j-th occurrence of a k-mer is an element of its own.  Each of the
+signature's functions orders all elements of the text by their hash XOR a number of its own, takes the
+smallest, keeps them in text order and hashes the tuple.  Texts a few edits apart agree in many
+positions of the signature; the same k-mers in another order do not.
 """
 
 from __future__ import annotations
@@ -14,10 +15,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from modelyard.llm.common import materialise
 
 TOKENS = 2  # tokens of a k-mer
-SKETCH = 48  # elements kept; at most 64
-FUNCTIONS = 32  # positions of the signature
+_BITS = 5
+FUNCTIONS = 1 << _BITS  # positions of the signature
 TUPLE = 2  # elements of a tuple
 _LAST = (1 << 63) - 1
+_LEAST = -(1 << 63)
+# Ends of pieces: vowels, some digits, punctuation, all beyond ASCII.
+_END = r"aeiouyAEIOUY0369\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x80-\x{10FFFF}"
+_TOKEN = rf"(?<!\S)\S{{1,16}}(?!\S)|[^\s{_END}]*+[{_END}]|[^\s{_END}]++"
 
 
 def _kmer_hashes(tokens: Column, text: Column) -> Column:
@@ -36,9 +41,9 @@ def with_signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
 
     Each step is a column of its own, so that no array is computed anew for each element.
     """
-    names = {n: f"_{out}_{n}" for n in "tokens hashes sorted starts sketch".split()}
-    tokens, hashes, ordered, starts, sketch = (F.col(n) for n in names.values())
-    df = df.withColumn(names["tokens"], F.regexp_extract_all(F.col(text_col), F.lit(r"\S{1,16}"), F.lit(0)))
+    names = {n: f"_{out}_{n}" for n in "tokens hashes sorted starts later elements dealt".split()}
+    tokens, hashes, ordered, starts, later, elements, dealt = (F.col(n) for n in names.values())
+    df = df.withColumn(names["tokens"], F.regexp_extract_all(F.col(text_col), F.lit(_TOKEN), F.lit(0)))
     df = df.withColumn(names["hashes"], _kmer_hashes(tokens, F.col(text_col))).drop(names["tokens"])
     df = df.withColumn(names["sorted"], F.sort_array(hashes))
     first = F.filter(
@@ -47,42 +52,71 @@ def with_signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
     )
     df = df.withColumn(names["starts"], first)
 
-    # First occurrences hash to the k-mer's hash itself; only the smallest of them matter.
-    element = lambda g, h, o: F.struct(g.alias("g"), h.alias("h"), o.alias("o"))
-    firsts = F.transform(
-        F.slice(starts, 1, SKETCH), lambda i: element(F.get(ordered, i), F.get(ordered, i), F.lit(0))
-    )
+    # First occurrences hash to the k-mer's hash itself.
     runs = F.transform(
         starts,
         lambda i, j: F.struct(
             F.get(ordered, i).alias("h"), (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - i).alias("n")
         ),
     )
-    later = F.flatten(
+    repeats = F.flatten(
         F.transform(
             F.filter(runs, lambda r: r["n"] > 1),
-            lambda r: F.transform(F.sequence(F.lit(1), r["n"] - 1), lambda o: element(F.xxhash64(r["h"], o), r["h"], o)),
+            lambda r: F.transform(
+                F.sequence(F.lit(1), r["n"] - 1),
+                lambda o: F.struct(F.xxhash64(r["h"], o).alias("g"), r["h"].alias("h"), o.alias("o")),
+            ),
         )
     )
-    chosen = F.when(F.size(starts) == F.size(ordered), firsts).otherwise(
-        F.slice(F.array_sort(F.concat(firsts, later)), 1, SKETCH)
+    df = df.withColumn(names["later"], repeats)
+    firsts = F.when(F.size(starts) == F.size(ordered), ordered).otherwise(
+        F.transform(starts, lambda i: F.get(ordered, i))
     )
-    place = lambda e: F.when(
-        e["o"] == 0, F.array_position(hashes, e["h"]).cast("int") - 1
-    ).otherwise(F.get(F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.get(hashes, i) == e["h"]), e["o"]))
-    placed = F.array_sort(F.transform(chosen, lambda e: F.struct(place(e).alias("p"), e["g"].alias("g"))))
-    df = df.withColumn(names["sketch"], placed["g"]).drop(names["starts"], names["sorted"], names["hashes"])
-
-    # The low six bits of a function's hash are replaced by the place in the sketch, that is, text order.
-    def position(f: Column) -> Column:
-        ranked = F.sort_array(
-            F.transform(sketch, lambda g, i: F.xxhash64(g, f).bitwiseAND(F.lit(-64)).bitwiseOR(i.cast("bigint")))
+    df = df.withColumn(names["elements"], F.concat(firsts, later["g"])).drop(names["starts"], names["sorted"])
+
+    # A function's number has its own top bits and zeros below.  The elements with these top bits come first in its
+    # order, by size; they follow the number in the sorted array.  Only where they are too few all are ordered anew.
+    numbers = [_LEAST + (f << (64 - _BITS)) for f in range(FUNCTIONS)]
+    df = df.withColumn(names["dealt"], F.sort_array(F.concat(elements, F.array(*map(F.lit, numbers)))))
+
+    def place(g: Column) -> Column:
+        # What a lambda is given is computed once.
+        of_later = F.transform(
+            F.filter(later, lambda e: e["g"] == g),
+            lambda e: F.get(
+                F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.get(hashes, i) == e["h"]), e["o"]
+            ),
+        )
+        at = F.array_position(hashes, g).cast("int")
+        return F.when(at > 0, at - 1).otherwise(F.get(of_later, F.lit(0)))
+
+    def smallest(number: Column, following: Column) -> Column:
+        turned = number.bitwiseXOR(F.lit(_LEAST))
+        again = F.slice(F.sort_array(F.transform(elements, lambda g: g.bitwiseXOR(turned))), 1, TUPLE)
+        enough = lambda found: (F.size(found) == TUPLE) & (
+            following.isNull() | (F.element_at(found, -1) < following)
+        )
+        next_to = F.array(F.slice(dealt, F.array_position(dealt, number).cast("int") + 1, TUPLE))
+        chosen = lambda found: F.when(enough(found), found).otherwise(
+            F.transform(again, lambda g: g.bitwiseXOR(turned))
         )
-        picked = F.sort_array(F.transform(F.slice(ranked, 1, TUPLE), lambda r: r.bitwiseAND(F.lit(63)).cast("int")))
-        return F.xxhash64(F.transform(picked, lambda i: F.get(sketch, i))).bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.get(F.transform(next_to, chosen), F.lit(0))
 
-    signature = F.transform(F.sequence(F.lit(0), F.lit(FUNCTIONS - 1)), position)
-    return df.withColumn(out, signature).drop(names["sketch"])
+    def position(function: Column) -> Column:
+        placed = F.transform(
+            smallest(function["number"], function["following"]), lambda g: F.struct(place(g).alias("p"), g.alias("g"))
+        )
+        return F.xxhash64(F.sort_array(placed)["g"]).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    functions = F.array(
+        *[
+            F.struct(F.lit(n).alias("number"), F.lit(after).cast("bigint").alias("following"))
+            for n, after in zip(numbers, [*numbers[1:], None])
+        ]
+    )
+    return df.withColumn(out, F.transform(functions, position)).drop(
+        names["hashes"], names["later"], names["elements"], names["dealt"]
+    )
 
 
 def likeness(one: Column, other: Column) -> Column:

@@ -273,6 +273,28 @@ def test_order_minhash_likeness(spark, awkward):
     assert len(one) == 1 and one[0]["near_next"] == 1
 
 
+def test_order_minhash_of_texts_without_blanks_follows_edits(spark):
+    draw = np.random.default_rng(5)
+    chinese = "".join(map(chr, draw.integers(0x4E00, 0x9000, 3000)))
+    encoded = "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[i] for i in draw.integers(0, 64, 4000))
+    texts = [chinese, chinese[:7] + "x" + chinese[7:], encoded, encoded[:3] + encoded[4:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    s = {r["doc_id"]: r["signature"] for r in order_minhash.fingerprints(df).collect()}
+    near = lambda a, b: sum(x == y for x, y in zip(s[a], s[b])) / len(s[a])
+    assert near(0, 1) > 0.8 and near(2, 3) > 0.8 and near(0, 2) == 0
+
+
+def test_functions_choose_among_all_elements(spark):
+    """Long texts that share half of their words: the functions hit shared and other elements independently."""
+    texts = [" ".join(f"{k}{i}" for i in range(2000)) for k in "ab"]
+    halves = [f"{texts[0]} {texts[1]}", texts[0], "x y z", "x y z x y"]
+    df = spark.createDataFrame(list(enumerate(halves)), "doc_id bigint, text string")
+    rows = order_minhash.with_signature(df, "text", "signature").collect()
+    s = {r["doc_id"]: r["signature"] for r in rows}
+    assert 0.05 <= sum(x == y for x, y in zip(s[0], s[1])) / 32 <= 0.5
+    assert len(set(s[0])) == 32 and all(len(v) == order_minhash.FUNCTIONS for v in s.values())
+
+
 def test_occurrences_are_numbered(spark):
     """A k-mer that occurs once more is a new element."""
     df = spark.createDataFrame([(n, "w " * n) for n in (2, 3, 4, 5)], "doc_id bigint, text string")

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from modelyard.llm import (
     byte_bpe,
+    centroids,
     cover_tree,
     language,
     order_minhash,
     packing,
+    periodic_runs,
+    quality,
     secrets,
     simhash,
     suffix_dedup,
@@ -90,6 +93,25 @@ def op10_byte_bpe(spark, base):
     return byte_bpe.round_trip(read_documents(spark, base), MULTI_RANKS, public_tokenizers.PATTERN)
 
 
+def op11_periodic_runs(spark, base):
+    return periodic_runs.digest(periodic_runs.find(periodic_runs.plant(read_documents(spark, base))))
+
+
+def op12_quality(spark, base):
+    docs = read_documents(spark, base)
+    model = quality.train(docs, spark.read.parquet(f"{base}/labels.parquet"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (text_fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op13_centroids(spark, base):
+    return centroids.clusters(spark.read.parquet(f"{base}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -103,6 +125,9 @@ QUERIES: dict[str, Query] = {
         op8_secret_scan,
         op9_language,
         op10_byte_bpe,
+        op11_periodic_runs,
+        op12_quality,
+        op13_centroids,
     )
 }
 
@@ -183,4 +208,59 @@ FROM d LEFT JOIN per_row USING (row)
 """
 
 
-ORACLE: dict[str, str] = {"op2_cover_tree_topk": _TOP_K, "op8_secret_scan": _secrets_sql()}
+def _centroids_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every round as three CTEs: distances to all centroids, the nearest, and the means of its vectors."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT row, vec_id, v, c AS cluster, distance
+  FROM (
+    SELECT row, vec_id, v, c,
+           list_sum(list_transform(list_zip(v, p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+    FROM vectors, centroids{r}
+  )
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, c) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""centroids{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.p, old.p) AS p
+  FROM centroids{r} old
+  LEFT JOIN (
+    SELECT cluster AS c, list(mean ORDER BY d) AS p
+    FROM (
+      SELECT cluster, d, CAST(floor_div AS HUGEINT) AS mean
+      FROM (
+        SELECT cluster, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+        FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS d FROM near{r})
+        GROUP BY cluster, d
+      )
+    )
+    GROUP BY cluster
+  ) m USING (c)
+)""")
+    body = ", ".join(steps)
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v AS p
+  FROM vectors
+  QUALIFY c < {k}
+), {body}, hashes AS (
+  SELECT c AS cluster, sha256(array_to_string(p, ',')) AS centroid_sha256 FROM centroids{rounds}
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{rounds} JOIN hashes USING (cluster)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_cover_tree_topk": _TOP_K,
+    "op8_secret_scan": _secrets_sql(),
+    "op13_centroids": _centroids_sql(),
+}

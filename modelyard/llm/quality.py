@@ -25,6 +25,7 @@ BOUND = 16_384  # rows the hinge loss is fitted to; the class counts cover all l
 COST = 1.0
 EPOCHS = 12
 SMOOTHING = 1.0
+SENT_ALONG = 1 << 20  # labels that are sent to all tasks; beyond that texts and labels meet by id
 
 _TOKENS = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _MEMO = 1 << 17
@@ -200,6 +201,8 @@ def labelled_grams(docs: DataFrame, labels: DataFrame, label_col: str, folds: in
         .where(text_fold(F.col("doc_id"), folds) != out)
     )
     half = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2)).cast("int")
+    if known.count() <= SENT_ALONG:
+        known = F.broadcast(known)
     texts = documents(docs).join(known, "doc_id").select("doc_id", "label", half.alias("half"), "text")
     return materialise(texts.mapInArrow(_with_grams, "doc_id bigint, label int, half int, grams array<int>"), "quality-grams")
 

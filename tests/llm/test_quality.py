@@ -91,6 +91,14 @@ def test_counts_cover_rows_beyond_the_bound(spark, base):
     assert (whole.ratios == part.ratios).all() and (whole.weights != part.weights).any()
 
 
+def test_labels_too_many_to_send_along(spark, base, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{base}/{n}.parquet") for n in ("documents", "labels"))
+    sent = quality.train(docs, labels)
+    monkeypatch.setattr(quality, "SENT_ALONG", 10)
+    met = quality.train(docs, labels)
+    assert (sent.weights == met.weights).all() and (sent.slope, sent.shift) == (met.slope, met.shift)
+
+
 LAYOUT = "text string, doc_id bigint, label string, half int, grams string, score string"
 
 

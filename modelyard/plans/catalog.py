@@ -13,6 +13,7 @@ from modelyard.functions import scalars
 from modelyard.operators import (
     agents,
     evaluation,
+    gram,
     inverted,
     linear,
     messages,
@@ -20,6 +21,7 @@ from modelyard.operators import (
     network,
     projections,
     registry,
+    scoring,
     splits,
     tracking,
     vectors,
@@ -382,6 +384,16 @@ def elastic_net_sparse(spark, base):
     return model.to_table(spark, "elasticnet").select("idx", F.round("value", 6).alias("value"))
 
 
+PATH = (0.05, 0.004, 0.002, 0.001)
+
+
+@query
+def elastic_net_path(spark, base):
+    """Weights for several penalties from one pass over the rows."""
+    models = gram.fit_path(standins.features(spark, base), "features", "quality", PATH)
+    return _rounded(gram.path_table(spark, PATH, models), 6, "value")
+
+
 @query
 def train_evaluate(spark, base):
     """Fit on the train part, one scoring pass over both parts, metrics per part."""
@@ -421,10 +433,9 @@ def score_many_models(spark, base):
         F.concat(F.lit("m-"), F.col("label").cast("string")).alias("model_id"), "idx", "value"
     )
     models = linear.packed_models(coefficients)
+    classes = models.withColumn("class", F.substring_index("model_id", "-", -1))
     assignments = models.select("model_id", F.explode(F.array(F.lit("train"), F.lit("test"))).alias("dataset"))
-    scored = linear.score_assigned(table, assignments, models, row_key="vec_id", keep=["label"])
-    target = (F.concat(F.lit("m-"), F.col("label").cast("string")) == F.col("model_id")).cast("double")
-    result = metrics.evaluate(scored.withColumn("y", target), "y", "prediction", by=["model_id", "dataset"])
+    result = scoring.evaluate_models(table, assignments, classes, "label", one_of="class")
     return _rounded(result, 6, "mse", "rmse", "mae", "r2", "max_error", "target_sum", "target_mean")
 
 

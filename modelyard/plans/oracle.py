@@ -148,6 +148,36 @@ positions AS (SELECT unnest(range({_B2} + {CLASSES} + 2)) AS pos)
 SELECT pos::int AS pos, round(coalesce(v, 0.0), 6) AS v FROM positions LEFT JOIN sums USING (pos)"""
 
 
+def _elastic_net(alphas: str, last: str) -> str:
+    """Proximal gradient steps on the covariance matrix, all weights at once, until they settle."""
+    return f"""WITH RECURSIVE {FEATURES},
+x AS (SELECT vec_id, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS idx, quality::double AS y FROM features),
+centred AS (SELECT vec_id, idx, x - avg(x) OVER (PARTITION BY idx) AS x, y - avg(y) OVER (PARTITION BY idx) AS y FROM x),
+n AS (SELECT count(*) AS n FROM features),
+entry AS (
+  SELECT a.idx, b.idx AS other, sum(a.x * b.x) / any_value(n) AS v
+  FROM centred a JOIN centred b USING (vec_id), n GROUP BY ALL),
+gram AS (SELECT list(row ORDER BY idx) AS g FROM (SELECT idx, list(v ORDER BY other) AS row FROM entry GROUP BY idx)),
+pull AS (SELECT list(c ORDER BY idx) AS c FROM (SELECT idx, sum(x * y) / any_value(n) AS c FROM centred, n GROUP BY idx)),
+bound AS (SELECT max(s) AS top FROM (SELECT sum(abs(v)) AS s FROM entry GROUP BY idx)),
+steps AS (
+  SELECT 0 AS k, alpha, list_transform(c, lambda v: 0.0::double) AS w FROM pull, (SELECT unnest({alphas}) AS alpha)
+  UNION ALL
+  SELECT k + 1, alpha,
+         list_transform(range(1, len(w) + 1), lambda i:
+           sign(w[i] + (c[i] - list_dot_product(g[i], w)) / top)
+           * greatest(abs(w[i] + (c[i] - list_dot_product(g[i], w)) / top) - alpha * 0.5 / top, 0.0)
+           / (1 + alpha * 0.5 / top))
+  FROM steps, gram, pull, bound WHERE k < 400),
+settled AS (SELECT alpha, w FROM steps WHERE k = 400),
+means AS (SELECT list(m ORDER BY idx) AS m FROM (SELECT idx, avg(x) AS m FROM x GROUP BY idx)),
+weights AS (
+  SELECT alpha, unnest(w) AS value, generate_subscripts(w, 1)::int - 1 AS idx FROM settled
+  UNION ALL
+  SELECT alpha, (SELECT avg(quality) FROM features) - list_dot_product(m, w), -1 FROM settled, means)
+{last}"""
+
+
 ORACLE: dict[str, str] = {
     "q_source_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "q_dataset_profile": """
@@ -299,6 +329,10 @@ x AS (SELECT vec_id, unnest(embedding)::double AS x, generate_subscripts(embeddi
 pull AS (SELECT idx, abs(covar_pop(x, quality)) AS c FROM x GROUP BY idx)
 SELECT idx::int AS idx, CASE WHEN c <= 0.25 THEN 0.0::double END AS value FROM pull
 UNION ALL SELECT -1, round(avg(quality), 8) FROM features""",
+    "q_elastic_net_sparse": _elastic_net("[0.002::double]", "SELECT idx, round(value, 6) AS value FROM weights"),
+    "q_elastic_net_path": _elastic_net(
+        "[0.05::double, 0.004, 0.002, 0.001]", "SELECT alpha, idx, round(value, 6) AS value FROM weights"
+    ),
     "q_train_evaluate": f"""
 WITH {FEATURES},
 scored AS (

@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import compare, connect
 from conftest import BASE
 
-ROWS_ONLY = {"q_elastic_net_sparse", "q_mlp_train", "q_checkpoint_accuracy", "q_rouge_l", "q_vector_lsh", "q_vector_index"}
+ROWS_ONLY = {"q_mlp_train", "q_checkpoint_accuracy", "q_rouge_l", "q_vector_lsh", "q_vector_index"}
 
 
 @pytest.fixture(scope="module")

@@ -18,6 +18,7 @@ from modelyard.operators import (
     linear,
     messages,
     metrics,
+    models,
     network,
     projections,
     registry,
@@ -457,6 +458,50 @@ def mlp_score(spark, base):
     )
 
 
+def _stored_models(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A linear model and a network with weights given by a rule, as logged models, coefficients and versions."""
+    layers = network.Shape(WIDTH, network.HIDDEN, CLASSES)
+    widths = f"{layers.inputs}-{layers.hidden}-{layers.classes}"
+    logged = spark.createDataFrame(
+        [("m-line", models.LINEAR, None), ("m-net", models.NETWORK, {models.WIDTHS: widths})],
+        "model_id string, model_type string, params map<string,string>",
+    )
+    values = formula_weights(layers).tolist()
+    rows = [("m-net", i, w) for i, w in enumerate(values)]
+    rows += [("m-line", i, w) for i, w in enumerate(values[:WIDTH])] + [("m-line", linear.INTERCEPT, 0.25)]
+    versions = spark.createDataFrame([("main.default.net", 2, "m-net")], "name string, version bigint, model_id string")
+    return logged, spark.createDataFrame(rows, "model_id string, idx int, value double"), versions
+
+
+@query
+def score_by_address(spark, base):
+    """Every row scored by the model at its address: by id, by version, an absent version, no address."""
+    logged, coefficients, versions = _stored_models(spark)
+    case = F.col("vec_id") % 4
+    uri = (
+        F.when(case == 0, "models:/m-line")
+        .when(case == 1, "models:/main.default.net/2")
+        .when(case == 2, "models:/main.default.net/9")
+        .otherwise("runs:/m-line")
+    )
+    requests = standins.features(spark, base).select("vec_id", "features", uri.alias("uri"))
+    resolved = registry.resolve_uris(requests, logged, versions)
+    scored = models.score_requests(resolved, models.typed_models(logged, coefficients))
+    return scored.select(
+        "vec_id", "model_id", "status", F.round("prediction", 6).alias("prediction"), F.round(F.array_max("scores"), 6).alias("top_score")
+    )
+
+
+@query
+def mlp_updates(spark, base):
+    """Weights after each of the first three updates of a training from weights given by a rule."""
+    layers = network.Shape(WIDTH, network.HIDDEN, CLASSES)
+    table = standins.features(spark, base)
+    training = network.train(table, "features", "label", layers, epochs=3, every=1, start=formula_weights(layers))
+    rows = network.checkpoint_table(spark, training, "net")
+    return rows.select("step", F.posexplode("weights").alias("pos", "v")).withColumn("v", F.round("v", 6))
+
+
 @query
 def mlp_gradient(spark, base):
     """One full-batch gradient at the same weights: a sum per weight, then loss and rows."""

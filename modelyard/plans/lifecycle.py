@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from modelyard.operators import linear, metrics, network, registry, tracking
+from modelyard.operators import linear, metrics, models, network, registry, tracking
 from modelyard.sources.parameters import require
 from modelyard.sources.tables import NamedDataset
 from modelyard.sources.tracking_store import LoggedModel, TrackingStore
@@ -39,6 +39,7 @@ def train_and_register(
                 {
                     "run_id": run.run_id,
                     "name": "elasticnet",
+                    "model_type": models.LINEAR,
                     "params": {"alpha": alpha, "l1_ratio": l1_ratio},
                     "signature_json": df.select(features).schema.json(),
                 }
@@ -75,16 +76,27 @@ def train_with_checkpoints(
     label: str,
     shape: network.Shape,
     name_prefix: str,
+    resume_as: str | None = None,
     **options,
 ) -> list[LoggedModel]:
     """Training run that logs a model and its accuracy on the training rows for every checkpoint.
 
+    With `resume_as` the state of every checkpoint is stored under that name, and a training that finds
+    one goes on from it; it logs the checkpoints it makes itself.
+
     The logged parameters are those of this run: its layer widths and the options it was given.
     """
-    params = {"layer_widths": f"{shape.inputs}-{shape.hidden}-{shape.classes}"}
+    params = {models.WIDTHS: f"{shape.inputs}-{shape.hidden}-{shape.classes}"}
     params |= {k: v for k, v in options.items() if isinstance(v, (int, float, str))}
+    state = network.load_state(store.read("states"), resume_as) if resume_as else None
+
+    def keep(now: network.State) -> None:
+        store.append("states", network.state_table(store.spark, resume_as, now))
+
     with store.run("training") as run:
-        training = network.train(df, features, label, shape, **options)
+        training = network.train(df, features, label, shape, resume=state, keep=keep if resume_as else None, **options)
+        if not training.checkpoints:
+            return []
         accuracy = {
             r["step"]: r["accuracy"] for r in network.checkpoint_accuracy(df, features, label, training).collect()
         }
@@ -93,6 +105,7 @@ def train_with_checkpoints(
                 {
                     "run_id": run.run_id,
                     "name": f"{name_prefix}-{step}",
+                    "model_type": models.NETWORK,
                     "step": step,
                     "params": params,
                 }
@@ -121,18 +134,30 @@ def best_checkpoint(store: TrackingStore, key: str = "accuracy") -> DataFrame:
     return tracking.best_and_worst(scored, ["model_id", "name", "value", "has_metric"])
 
 
-def load_by_uri(store: TrackingStore, uri: str) -> tuple[str, linear.LinearModel]:
-    """Id and model behind `models:/<id>` or `models:/<name>/<version>`."""
+def load_by_uri(store: TrackingStore, uri: str, kind: str | None = None) -> tuple[str, models.Model]:
+    """Id and model behind `models:/<id>` or `models:/<name>/<version>`: a `LinearModel` or a `Network`.
+
+    With `kind`, a model of another kind is an error.
+    """
     asked = store.spark.createDataFrame([(require(uri=uri)["uri"],)], "uri string")
     (found,) = registry.resolve_uris(asked, store.read("models"), store.read("versions")).collect()
     if found["model_id"] is None:
         raise LookupError(f"no model at {uri}")
-    return found["model_id"], linear.load_model(store.read("coefficients"), found["model_id"])
+    own = F.col("model_id") == found["model_id"]
+    typed = models.typed_models(store.read("models").where(own), store.read("coefficients").where(own))
+    return found["model_id"], models.load(typed, found["model_id"], kind)
+
+
+def predict_by_uri(store: TrackingStore, requests: DataFrame, features: str = "features", **options) -> DataFrame:
+    """`requests` (with an address in `uri`) scored, each by the model at its address, whatever its kind."""
+    resolved = registry.resolve_uris(requests, store.read("models"), store.read("versions"))
+    typed = models.typed_models(store.read("models"), store.read("coefficients"))
+    return models.score_requests(resolved, typed, features, **options)
 
 
 def evaluate_version(store: TrackingStore, uri: str, data: NamedDataset, features: str, label: str) -> str:
     """Score `data` with the model at an address and log its metrics in an evaluation run; the model's id."""
-    model_id, model = load_by_uri(store, uri)
+    model_id, model = load_by_uri(store, uri, models.LINEAR)
     with store.run(EVALUATION) as run:
         _log_evaluation(store, data, model, features, label, model_id, run.run_id)
     return model_id

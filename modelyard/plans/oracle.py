@@ -148,6 +148,48 @@ positions AS (SELECT unnest(range({_B2} + {CLASSES} + 2)) AS pos)
 SELECT pos::int AS pos, round(coalesce(v, 0.0), 6) AS v FROM positions LEFT JOIN sums USING (pos)"""
 
 
+def _mlp_updates(steps: int) -> str:
+    """Forward pass, gradient and Adam step as CTEs, once for each update; weights are rows (pos, v)."""
+    parts = [
+        f"""x AS MATERIALIZED (
+  SELECT vec_id, label, embedding[j + 1]::double AS x, j FROM embeddings, range({WIDTH}) AS js(j)),
+n AS (SELECT count(*) AS n FROM embeddings),
+s0 AS (SELECT pos, {_weight("pos")} AS v, 0.0::double AS first, 0.0::double AS second FROM range({_B2 + CLASSES}) AS ps(pos))"""
+    ]
+    for k in range(steps):
+        parts.append(f"""h{k} AS MATERIALIZED (
+  SELECT vec_id, label, h, greatest(s + b.v, 0.0) AS a
+  FROM (SELECT vec_id, label, w.pos // {WIDTH} AS h, sum(x * v) AS s
+        FROM x JOIN s{k} w ON w.pos < {_B1} AND w.pos % {WIDTH} = x.j GROUP BY ALL)
+  JOIN s{k} b ON b.pos = {_B1} + h),
+z{k} AS MATERIALIZED (
+  SELECT vec_id, label, c, s + b.v AS score
+  FROM (SELECT vec_id, label, (w.pos - {_W2}) // {_HIDDEN} AS c, sum(a * v) AS s
+        FROM h{k} JOIN s{k} w ON w.pos >= {_W2} AND w.pos < {_B2} AND (w.pos - {_W2}) % {_HIDDEN} = h GROUP BY ALL)
+  JOIN s{k} b ON b.pos = {_B2} + c),
+t{k} AS (SELECT vec_id, max(score) AS m FROM z{k} GROUP BY vec_id),
+u{k} AS (SELECT z.vec_id, any_value(m) AS m, sum(exp(score - m)) AS s FROM z{k} z JOIN t{k} USING (vec_id) GROUP BY z.vec_id),
+d{k} AS MATERIALIZED (SELECT z.vec_id, c, exp(score - m) / s - (c = label)::int AS d FROM z{k} z JOIN u{k} USING (vec_id)),
+b{k} AS MATERIALIZED (
+  SELECT vec_id, h, sum(d * v) AS b
+  FROM (SELECT vec_id, h, c, d FROM h{k} JOIN d{k} USING (vec_id) WHERE a > 0)
+  JOIN s{k} w ON w.pos = {_W2} + c * {_HIDDEN} + h GROUP BY vec_id, h),
+g{k} AS (
+  SELECT pos, sum(v) / any_value(n) AS g FROM (
+    SELECT h * {WIDTH} + j AS pos, b * x AS v FROM b{k} JOIN x USING (vec_id)
+    UNION ALL SELECT {_B1} + h, b FROM b{k}
+    UNION ALL SELECT {_W2} + c * {_HIDDEN} + h, d * a FROM d{k} JOIN h{k} USING (vec_id)
+    UNION ALL SELECT {_B2} + c, d FROM d{k}), n GROUP BY pos),
+m{k} AS (
+  SELECT pos, v, 0.9 * first + 0.1 * coalesce(g, 0.0) AS first, 0.999 * second + 0.001 * coalesce(g, 0.0) ** 2 AS second
+  FROM s{k} LEFT JOIN g{k} USING (pos)),
+s{k + 1} AS MATERIALIZED (
+  SELECT pos, v - 0.01 * (first / (1 - 0.9::double ** {k + 1})) / (sqrt(second / (1 - 0.999::double ** {k + 1})) + 1e-8::double) AS v,
+         first, second FROM m{k})""")
+    rows = " UNION ALL ".join(f"SELECT {k}::bigint AS step, pos::int AS pos, round(v, 6) AS v FROM s{k + 1}" for k in range(steps))
+    return f"WITH {', '.join(parts)} {rows}"
+
+
 def _elastic_net(alphas: str, last: str) -> str:
     """Proximal gradient steps on the covariance matrix, all weights at once, until they settle."""
     return f"""WITH RECURSIVE {FEATURES},
@@ -354,6 +396,15 @@ scored AS (
 SELECT model_id, dataset, {_bundle('y', 'p', 6)} FROM scored GROUP BY model_id, dataset""",
     "q_mlp_score": _MLP_SCORE,
     "q_mlp_gradient": _MLP_GRADIENT,
+    "q_mlp_updates": _mlp_updates(3),
+    "q_score_by_address": f"""WITH {_FORWARD},
+net AS (SELECT vec_id, arg_max(c, (score, -c)) AS predicted, max(score) AS top FROM z GROUP BY vec_id),
+line AS (SELECT vec_id, sum(x * {_weight("j")}) + 0.25 AS p FROM x GROUP BY vec_id)
+SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 'm-line' WHEN 1 THEN 'm-net' END AS model_id,
+       CASE WHEN vec_id % 4 < 2 THEN 'ok' ELSE 'no_model' END AS status,
+       CASE vec_id % 4 WHEN 0 THEN round(p, 6) WHEN 1 THEN predicted::double END AS prediction,
+       CASE WHEN vec_id % 4 = 1 THEN round(top, 6) END AS top_score
+FROM embeddings JOIN net USING (vec_id) JOIN line USING (vec_id)""",
     "q_vector_topk": """
 WITH ranked AS (
   SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(v.embedding::double[], q.embedding::double[]) AS similarity

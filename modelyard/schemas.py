@@ -75,6 +75,17 @@ COEFFICIENTS = T.StructType(
     ]
 )
 
+TRAINING_STATES = T.StructType(
+    [
+        T.StructField("name", T.StringType(), False),
+        T.StructField("step", T.LongType(), False),
+        T.StructField("pos", T.IntegerType(), False),
+        T.StructField("weight", T.DoubleType(), False),
+        T.StructField("first", T.DoubleType(), False),
+        T.StructField("second", T.DoubleType(), False),
+    ]
+)
+
 MODEL_VERSIONS = T.StructType(
     [
         T.StructField("name", T.StringType(), False),

@@ -24,6 +24,7 @@ _TABLES = {
     "datasets": schemas.DATASETS,
     "coefficients": schemas.COEFFICIENTS,
     "versions": schemas.MODEL_VERSIONS,
+    "states": schemas.TRAINING_STATES,
 }
 _PARTITIONED_BY = {"metrics": ["key"]}
 

@@ -39,15 +39,13 @@ def test_gradient_equals_finite_differences(data):
         assert slope == pytest.approx(gradient[i], abs=1e-6)
 
 
-@pytest.mark.parametrize("direct", [True, False])
-def test_gradient_does_not_depend_on_partitions(table, data, direct):
+def test_gradient_does_not_depend_on_partitions(table, data):
     x, y = data
     flat = network.initial_weights(SHAPE, 1)
     whole = network.gradient_sum(SHAPE, flat, x.astype(float), y)
-    for n in (1, 7):
+    for n in (1, 7, 40):
         rows = network.training_rows(table.repartition(n), "features", "label")
-        tasks = n if direct else network._DIRECT_TASKS + 1
-        gradient, loss, count = network._gradient(rows, SHAPE, flat, tasks)
+        gradient, loss, count = network._gradient(rows, SHAPE, flat)
         assert count == 300
         assert np.allclose(gradient, whole[:-2] / 300, atol=1e-9, rtol=0)
         assert loss == pytest.approx(whole[-2] / 300, abs=1e-9)
@@ -102,3 +100,38 @@ def test_rows_that_do_not_fit_the_network_are_an_error(spark, x, y, message):
     df = spark.createDataFrame([([1.0, 2.0], 1), (x, y)], "features array<double>, label int")
     with pytest.raises(Exception, match=message):
         network.train(df, "features", "label", network.Shape(2, 2, 3), epochs=1)
+
+
+def test_a_stopped_training_goes_on_to_the_same_weights(spark, table):
+    whole = network.train(table, "features", "label", SHAPE, seed=3)
+    kept = []
+    half = network.train(table, "features", "label", SHAPE, epochs=51, seed=3, keep=kept.append)
+    assert half.state.step == 51 and [s.step for s in kept] == [1, 11, 21, 31, 41, 51]
+    stored = network.state_table(spark, "net", kept[2]).unionByName(network.state_table(spark, "net", half.state))
+    torn = network.state_table(spark, "net", network.State(77, *[half.state.weights] * 3)).where("pos <> 3")
+    state = network.load_state(stored.unionByName(torn), "net")
+    assert state.step == 51 and np.array_equal(state.second, half.state.second)
+    rest = network.train(table, "features", "label", SHAPE, resume=state)
+    assert half.losses + rest.losses == whole.losses
+    assert np.array_equal(rest.state.weights, whole.state.weights)
+    assert [s for s, _ in half.checkpoints + rest.checkpoints] == [s for s, _ in whole.checkpoints]
+    assert network.load_state(stored, "other") is None
+    with pytest.raises(ValueError, match="do not fit"):
+        network.train(table, "features", "label", network.Shape(5, 5, 3), resume=state)
+
+
+def test_rows_that_get_no_scores(spark):
+    shape = network.Shape(2, 3, 2)
+    flat = network.initial_weights(shape, 1)
+    rows = [(1, [1.0, 2.0]), (2, None), (3, [1.0]), (4, [None, 1.0]), (5, []), (6, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "id int, features array<double>").coalesce(1)
+    got = {r["id"]: r["scores"] for r in network.predict(df, "features", shape, flat).collect()}
+    assert [got[i] for i in (2, 3, 4, 5)] == [None] * 4
+    assert np.allclose([got[1], got[6]], network.forward(shape, flat, np.array([[1.0, 2.0], [0.5, 0.5]])))
+    assert network.predict(df.limit(0), "features", shape, flat).count() == 0
+
+
+def test_a_gradient_that_is_not_finite_is_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0], 1)], "features array<double>, label int")
+    with pytest.raises(Exception, match="not finite"):
+        network.train(df, "features", "label", network.Shape(2, 2, 2), epochs=1, start=np.full(12, np.inf))

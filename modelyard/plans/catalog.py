@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from modelyard.functions import scalars
 from modelyard.operators import (
     agents,
+    aggregates,
     evaluation,
     gram,
     inverted,
@@ -24,6 +25,7 @@ from modelyard.operators import (
     registry,
     scoring,
     splits,
+    tags,
     tracking,
     vectors,
 )
@@ -269,6 +271,17 @@ def custom_metric(spark, base):
     return _rounded(result.select("dataset", "n", "bias", "within_tenth"), 4, "bias")
 
 
+@query
+def custom_aggregates(spark, base):
+    """Area under the curve and calibration from mergeable states, by language of the labelled documents."""
+    documents = read_table(spark, base, "documents").select("doc_id", "lang", "n_chars")
+    labelled = read_table(spark, base, "labels").join(documents, "doc_id")
+    scored = labelled.withColumn("score", F.least(F.col("n_chars") % 997 / 1000 + F.col("toxic") / 5, F.lit(1.0)))
+    asked = ["toxic", "score"]
+    chosen = {"auc": (aggregates.area_under_curve(), asked), "calibration": (aggregates.calibration_error(), asked)}
+    return _rounded(aggregates.aggregate(scored, ["lang"], chosen), 6, "auc", "calibration")
+
+
 @query
 def cross_entropy(spark, base):
     return _rounded(metrics.cross_entropy(read_table(spark, base, "embeddings"), "embedding", "label"), 6, "loss")
@@ -835,6 +848,16 @@ def approval_gate(spark, base):
     return registry.approval_gate(_tagged(spark, base)).select("version", "approved", "reason")
 
 
+@query
+def gate_at_two_times(spark, base):
+    """The gate for every version at two times, by the tags that held then."""
+    history = standins.tag_history(spark, base)
+    times = F.explode(F.array(*[F.expr(t) for t in standins.GATE_TIMES])).alias("asked_at")
+    requests = history.select("name", "version").distinct().select("name", "version", times)
+    day = F.date_format("asked_at", "yyyy-MM-dd").alias("asked_on")
+    return tags.gate_as_of(requests, history).select("name", "version", day, F.size("tags").cast("bigint").alias("n_tags"), "reason", "approved")
+
+
 @query
 def deployable_versions(spark, base):
     log = standins.metric_log(spark, base)

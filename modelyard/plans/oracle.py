@@ -307,6 +307,21 @@ WITH {REGRESSION}
 SELECT dataset, count(*) AS n, round(avg(y - p), 4) AS bias,
        count(*) FILTER (abs(y - p) <= abs(y) * 0.1::double) AS within_tenth
 FROM scored GROUP BY dataset""",
+    "q_custom_aggregates": """
+WITH scored AS (
+  SELECT lang, toxic, least(n_chars % 997 / 1000.0::double + toxic / 5.0::double, 1.0::double) AS score
+  FROM labels JOIN documents USING (doc_id)),
+binned AS (SELECT lang, toxic, score, least(floor(score * 100), 99) AS b, least(floor(score * 10), 9) AS c FROM scored),
+bins AS (
+  SELECT lang, b, count(*) FILTER (toxic = 1) AS ones, count(*) FILTER (toxic = 0) AS zeros FROM binned GROUP BY ALL),
+won AS (
+  SELECT lang, ones, zeros,
+         ones * (coalesce(sum(zeros) OVER (PARTITION BY lang ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 + zeros / 2.0::double) AS won FROM bins),
+areas AS (SELECT lang, sum(won) / nullif(sum(ones)::double * sum(zeros), 0) AS auc FROM won GROUP BY lang),
+apart AS (SELECT lang, count(*) AS n, abs(sum(toxic) - sum(score)) AS d FROM binned GROUP BY lang, c)
+SELECT lang, round(auc, 6) AS auc, round(calibration, 6) AS calibration
+FROM areas JOIN (SELECT lang, sum(d) / sum(n) AS calibration FROM apart GROUP BY lang) USING (lang)""",
     "q_cross_entropy": """
 WITH z AS (SELECT list_transform(embedding, lambda x: x::double) AS z, label FROM embeddings)
 SELECT count(*) AS n, round(avg(list_max(z) + ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) - z[label + 1]), 6) AS loss
@@ -521,6 +536,27 @@ SELECT r.arrival, r.uri,
 FROM requests r LEFT JOIN models m ON r.model_id = m.model_id
 LEFT JOIN versions v ON r.name = v.name AND v.version = r.arrival % 20 + 1""",
     "q_approval_gate": f"WITH {GATE} SELECT version, reason = 'approved' AS approved, reason FROM gate",
+    "q_gate_at_two_times": """
+WITH history AS (
+  SELECT 'main.default.m' || o_custkey AS name, o_orderkey % 3 + 1 AS version,
+         CASE o_orderkey % 5 WHEN 0 THEN 'owner' WHEN 1 THEN 'APPROVAL_CHECK' ELSE 'Approval_Check' END AS key,
+         CASE o_orderstatus WHEN 'O' THEN 'approved' WHEN 'F' THEN 'Rejected' END AS value,
+         o_orderdate::timestamp AS set_at, o_orderkey AS seq FROM orders),
+asked AS (
+  SELECT DISTINCT name, version, t AS asked_at
+  FROM history, (VALUES (TIMESTAMP '1996-06-30'), (TIMESTAMP '1999-12-31')) ts(t)),
+held AS (
+  SELECT name, version, asked_at, key, value FROM asked JOIN history USING (name, version) WHERE set_at <= asked_at
+  QUALIFY row_number() OVER (PARTITION BY name, version, asked_at, key ORDER BY set_at DESC, seq DESC) = 1),
+facts AS (
+  SELECT name, version, asked_at, count(*) AS n_tags, bool_or(lower(key) = 'approval_check') AS present,
+         max(value) FILTER (key = 'Approval_Check') AS tag FROM held WHERE value IS NOT NULL GROUP BY ALL),
+judged AS (
+  SELECT name, version, asked_at, coalesce(n_tags, 0) AS n_tags,
+         CASE WHEN NOT coalesce(present, false) THEN 'missing' WHEN lower(tag) = 'approved' THEN 'approved'
+              WHEN tag IS NOT NULL THEN 'rejected' ELSE 'key_case_mismatch' END AS reason
+  FROM asked LEFT JOIN facts USING (name, version, asked_at))
+SELECT name, version, strftime(asked_at, '%Y-%m-%d') AS asked_on, n_tags, reason, reason = 'approved' AS approved FROM judged""",
     "q_deployable_versions": f"""
 WITH {GATE}
 SELECT name, version, model_id FROM gate

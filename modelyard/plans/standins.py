@@ -65,6 +65,22 @@ def version_tags() -> Column:
     )
 
 
+GATE_TIMES = ("timestamp_ntz'1996-06-30 00:00:00'", "timestamp_ntz'1999-12-31 00:00:00'")
+
+
+def tag_history(spark: SparkSession, base: str) -> DataFrame:
+    """Orders as tag changes: three versions a customer, set, changed, removed, with the key in two cases."""
+    status = F.col("o_orderstatus")
+    return read_table(spark, base, "orders").select(
+        F.concat(F.lit("main.default.m"), F.col("o_custkey").cast("string")).alias("name"),
+        (F.col("o_orderkey") % 3 + 1).alias("version"),
+        F.when(F.col("o_orderkey") % 5 == 0, "owner").when(F.col("o_orderkey") % 5 == 1, TAG.upper()).otherwise(TAG).alias("key"),
+        F.when(status == "O", "approved").when(status == "F", "Rejected").alias("value"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("set_at"),
+        F.col("o_orderkey").alias("seq"),
+    )
+
+
 def regression(spark: SparkSession, base: str) -> DataFrame:
     lineitem = read_table(spark, base, "lineitem")
     part = read_table(spark, base, "part").select("p_partkey", "p_retailprice")

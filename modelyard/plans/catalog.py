@@ -23,6 +23,7 @@ from modelyard.operators import (
     network,
     projections,
     registry,
+    rowwise,
     scoring,
     splits,
     tags,
@@ -732,6 +733,33 @@ def _digest_responder(batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(replies, columns=["role", "content", "tool_calls"])
 
 
+class Excerpts:
+    """For the n-th user turn, n mod 3 rows with the characters read so far; at the end one row of totals."""
+
+    def __init__(self, least: int) -> None:
+        self.least, self.users, self.chars, self.conversation = least, 0, 0, None
+
+    def row(self, row):
+        self.conversation = row["conv_id"]
+        self.chars += len(row["text"] or "")
+        if row["role"] == "user":
+            self.users += 1
+            for part in range(self.users % 3):
+                yield row["conv_id"], row["turn"], part, self.chars
+
+    def end(self):
+        if self.users >= self.least:
+            yield self.conversation, -1, self.users, self.chars
+
+
+@query
+def respond_rows(spark, base):
+    """A responder that gives no, one or two rows for a turn and sees the turns of a conversation in order."""
+    turns = read_table(spark, base, "conversations").select("conv_id", "turn", "role", "text")
+    schema = "conv_id bigint, turn bigint, part bigint, chars bigint"
+    return rowwise.respond_rows(turns, Excerpts, schema, ["conv_id"], ["turn"], least=2)
+
+
 @query
 def agent_history(spark, base):
     """An agent whose answer depends on every turn of its conversation."""

@@ -487,6 +487,15 @@ SELECT conv_id, seq, CASE WHEN seq % 2 = 1 THEN 'tool' ELSE 'assistant' END AS r
        ELSE 'done: unknown tool: absent' END AS content,
   seq % 2 = 0 AND seq < 2 * rounds AS calls_tools, true AS finished
 FROM numbered""",
+    "q_respond_rows": """
+WITH seen AS (
+  SELECT conv_id, turn, role, count(*) FILTER (role = 'user') OVER w AS users, sum(length(coalesce(text, ''))) OVER w AS chars
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+parts AS (SELECT conv_id, turn, unnest(range(users % 3)) AS part, chars FROM seen WHERE role = 'user')
+SELECT conv_id, turn::bigint AS turn, part, chars::bigint AS chars FROM parts
+UNION ALL
+SELECT conv_id, -1, count(*) FILTER (role = 'user'), sum(length(coalesce(text, '')))::bigint
+FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role = 'user') >= 2""",
     "q_predict_batch": """
 SELECT conv_id, turn, 'chars: ' || length(text) AS response FROM conversations WHERE role = 'user'""",
     "q_token_f1": f"""

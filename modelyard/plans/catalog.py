@@ -25,6 +25,7 @@ from modelyard.operators import (
     registry,
     rowwise,
     scoring,
+    signatures,
     splits,
     tags,
     tracking,
@@ -33,6 +34,7 @@ from modelyard.operators import (
 from modelyard.plans import standins
 from modelyard.sources.shared import scratch_path
 from modelyard.sources.tables import dataset_profile, read_table
+from modelyard.sources.tracking_store import TrackingStore
 from modelyard.streaming import deltas, metric_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +83,29 @@ def schema_conformance(spark, base):
     return evaluation.schema_conformance(events, signature)
 
 
+@query
+def signature_check(spark, base):
+    """Events with values taken away against a signature of wider types: what is wrong with which row."""
+    events = read_table(spark, base, "events")
+    damaged = events.select(
+        "event_id",
+        F.when(F.col("event_id") % 7 != 0, F.col("user_id").cast("int")).alias("user_id"),
+        F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"),
+        F.slice(F.array("value", "value", "value"), 1, (F.col("event_id") % 3 + 1).cast("int")).alias("history"),
+    )
+    signature = T.StructType(
+        [
+            T.StructField("event_id", T.LongType(), False),
+            T.StructField("user_id", T.LongType(), False),
+            T.StructField("value", T.DoubleType(), False),
+            T.StructField("history", T.ArrayType(T.DoubleType(), False)),
+        ]
+    )
+    good, aside = signatures.conform(damaged, signature, {"history": 2})
+    rows = good.withColumn("violations", F.array().cast("array<string>")).unionByName(aside)
+    return rows.select("event_id", "user_id", F.array_join("violations", ", ").alias("violations"))
+
+
 # --- projections ------------------------------------------------------------------------------
 
 
@@ -340,6 +365,18 @@ def rank_checkpoints(spark, base):
     return tracking.with_rank(ranked)
 
 
+@query
+def rank_of_run(spark, base):
+    """Models of the last run by one key: of the stored log only the partitions of run and key are read."""
+    log = standins.metric_log(spark, base)
+    store = TrackingStore(spark, scratch_path(spark, "store"))
+    store.append("metrics", log.drop("ts"))
+    run = log.agg(F.max("run_id")).first()[0]
+    found = store.read_metrics("purchase", [run] if run else [])
+    measured = standins.models(spark, base).join(found.select("model_id").distinct(), "model_id", "left_semi")
+    return tracking.with_rank(tracking.rank_models(measured, found, "purchase"))
+
+
 @query
 def best_worst(spark, base):
     scored = tracking.score_models(standins.models(spark, base), standins.metric_log(spark, base), "purchase")

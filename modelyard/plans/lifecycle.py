@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from modelyard.operators import linear, metrics, models, network, registry, tracking
+from modelyard.operators import linear, metrics, models, network, registry, signatures, tracking
 from modelyard.sources.parameters import require
 from modelyard.sources.tables import NamedDataset
 from modelyard.sources.tracking_store import LoggedModel, TrackingStore
@@ -41,7 +41,7 @@ def train_and_register(
                     "name": "elasticnet",
                     "model_type": models.LINEAR,
                     "params": {"alpha": alpha, "l1_ratio": l1_ratio},
-                    "signature_json": df.select(features).schema.json(),
+                    "signature_json": signatures.signature_of(df, features),
                 }
             ]
         )
@@ -112,7 +112,7 @@ def train_with_checkpoints(
                 for step, _ in training.checkpoints
             ]
         )
-        order = store.next_log_seq()
+        order = store.next_log_seq(len(logged))
         rows = [
             (run.run_id, model.model_id, "train", "accuracy", float(accuracy[step]), step, order + i)
             for i, (model, (step, _)) in enumerate(zip(logged, training.checkpoints))
@@ -155,6 +155,34 @@ def predict_by_uri(store: TrackingStore, requests: DataFrame, features: str = "f
     return models.score_requests(resolved, typed, features, **options)
 
 
+def check_input(store: TrackingStore, uri: str, df: DataFrame, **lengths: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that keep the signature stored with the model at an address, rows set aside with `violations`).
+
+    A model without signature, and columns that are missing or of another type, are errors.
+    """
+    model_id, _ = load_by_uri(store, uri)
+    found = store.read("models").where(F.col("model_id") == model_id).select("signature_json").first()
+    if found["signature_json"] is None:
+        raise LookupError(f"no signature is stored with {uri}")
+    return signatures.conform(df, signatures.read_signature(found["signature_json"]), lengths)
+
+
+def search(
+    store: TrackingStore, key: str, name: str | None = None, run_id: str | None = None, dataset: str | None = None
+) -> DataFrame:
+    """Logged models, best first by their first value of `key`; of one name, one run, or all there are.
+
+    Only the partitions of the key and the run are read.  Within a run, models it measured count.
+    """
+    logged = store.read("models")
+    if name is not None:
+        logged = logged.where(F.col("name") == name)
+    found = store.read_metrics(key, None if run_id is None else [run_id])
+    if run_id is not None:
+        logged = logged.join(found.select("model_id").distinct(), "model_id", "left_semi")
+    return tracking.rank_models(logged, found, key, dataset)
+
+
 def evaluate_version(store: TrackingStore, uri: str, data: NamedDataset, features: str, label: str) -> str:
     """Score `data` with the model at an address and log its metrics in an evaluation run; the model's id."""
     model_id, model = load_by_uri(store, uri, models.LINEAR)

@@ -222,6 +222,14 @@ weights AS (
 
 ORACLE: dict[str, str] = {
     "q_source_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "q_signature_check": """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id,
+       array_to_string(list_filter([
+         CASE WHEN event_id % 7 = 0 OR user_id IS NULL THEN 'user_id: null' END,
+         CASE WHEN event_id % 5 = 0 OR value IS NULL THEN 'value: null' END,
+         CASE WHEN value IS NULL THEN 'history: null inside' END,
+         CASE WHEN event_id % 3 <> 1 THEN 'history: not 2 items' END], lambda v: v IS NOT NULL), ', ') AS violations
+FROM events""",
     "q_dataset_profile": """
 SELECT 'events' AS name, count(*) AS n_rows,
        sum((event_id IS NULL)::int + (ts IS NULL)::int + (user_id IS NULL)::int + (event_type IS NULL)::int
@@ -360,6 +368,14 @@ WITH {SCORED_MODELS}
 SELECT model_id, name, search_order, value, has_metric,
        row_number() OVER (ORDER BY coalesce(value, '-inf'::double) DESC, search_order) AS rank
 FROM scored""",
+    "q_rank_of_run": f"""
+WITH {MODELS}, {LOG},
+first AS (
+  SELECT model_id, arg_min(value, log_seq) AS value FROM log
+  WHERE key = 'purchase' AND run_id = (SELECT max(run_id) FROM log) GROUP BY model_id)
+SELECT model_id, name, search_order, value, value IS NOT NULL AS has_metric,
+       row_number() OVER (ORDER BY coalesce(value, '-inf'::double) DESC, search_order) AS rank
+FROM models JOIN first USING (model_id)""",
     "q_best_worst": f"""
 WITH {SCORED_MODELS},
 ordered AS (

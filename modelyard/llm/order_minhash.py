@@ -87,8 +87,9 @@ def with_signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
                 F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.get(hashes, i) == e["h"]), e["o"]
             ),
         )
-        at = F.array_position(hashes, g).cast("int")
-        return F.when(at > 0, at - 1).otherwise(F.get(of_later, F.lit(0)))
+        # A condition that names the position twice would look for it twice.
+        at = F.array(F.array_position(hashes, g).cast("int"))
+        return F.get(F.transform(at, lambda p: F.when(p > 0, p - 1).otherwise(F.get(of_later, F.lit(0)))), F.lit(0))
 
     def smallest(number: Column, following: Column) -> Column:
         turned = number.bitwiseXOR(F.lit(_LEAST))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from modelyard.llm.common import derive, documents, materialise, text_fold
 
@@ -61,16 +61,20 @@ def _unmasked(token: str) -> Iterator[str]:
     yield _BETWEEN.sub("", low.translate(LEET))
 
 
+def class_table() -> np.ndarray:
+    """Kind of every code point: made once on the driver and sent along."""
+    table = np.zeros(0x110000, np.uint8)
+    for point in range(0x110000):
+        c = chr(point)
+        table[point] = 1 if c.isspace() else 3 if c.isupper() else 2 if c.isalpha() else 4 if c.isdigit() else 5 if c in "!?" else 6
+    return table
+
+
 class Classes:
     """Counts of kinds of code points by a table over all of them."""
 
-    def __init__(self) -> None:
-        self._table = np.zeros(0x110000, np.uint8)
-        for point in range(0x110000):
-            c = chr(point)
-            self._table[point] = (
-                1 if c.isspace() else 3 if c.isupper() else 2 if c.isalpha() else 4 if c.isdigit() else 5 if c in "!?" else 6
-            )
+    def __init__(self, table: np.ndarray | None = None) -> None:
+        self._table = class_table() if table is None else table
 
     def counts(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -95,21 +99,34 @@ class Memo(dict):
         return found
 
 
-def weight_of(token: str, weights: dict[str, float]) -> float:
-    """Weight of a token: the heaviest of its words and their stems, 0 if none is in the lexicon."""
-    return max((weights.get(k, 0.0) for w in _WORDS.findall(token) for k in (w, *stems(w))), default=0.0)
+def words_of(token: str) -> list[str]:
+    """Runs of letters of a token; mostly it is one itself."""
+    return [token] if token.isalpha() else _WORDS.findall(token)
 
 
-def apart(token: str) -> str:
+def apart(token: str, words: list[str]) -> str:
     """The letters of a token that has no two letters side by side, and any single character; else nothing."""
-    return token if len(token) == 1 else "".join(_WORDS.findall(token)) if _APART.fullmatch(token) else ""
+    if len(token) == 1:
+        return token
+    if any(len(w) > 1 for w in words):
+        return ""
+    return "".join(words) if _APART.fullmatch(token) else ""
 
 
 def token_memo(weights: dict[str, float]) -> Memo:
-    """Of a token: weight, number of words of the second person, letters that stand apart; None if it has none of these."""
+    """Of a token: weight, number of words of the second person, letters that stand apart; None if it has none of these.
+
+    The weight is that of the heaviest of its words and their stems, 0 if none is in the lexicon.  A word
+    and its stems begin alike, so most words are told apart from all entries by their beginning.
+    """
+    beginnings = {k[: _STEMS[0]] for k in weights}
 
     def answer(token: str) -> tuple[float, int, str] | None:
-        found = (weight_of(token, weights), sum(w in SECOND_PERSON for w in _WORDS.findall(token)), apart(token))
+        words = words_of(token)
+        weight = max(
+            (weights.get(k, 0.0) for w in words if w[: _STEMS[0]] in beginnings for k in (w, *stems(w))), default=0.0
+        )
+        found = (weight, sum(w in SECOND_PERSON for w in words), apart(token, words))
         return found if any(found) else None
 
     return Memo(answer)
@@ -117,7 +134,7 @@ def token_memo(weights: dict[str, float]) -> Memo:
 
 def capitals_memo() -> Memo:
     """Of a token as written: words of three or more letters that are all capitals, of whatever script."""
-    return Memo(lambda token: sum(len(w) > 2 and w.isupper() for w in _WORDS.findall(token)))
+    return Memo(lambda token: sum(len(w) > 2 and w.isupper() for w in words_of(token)))
 
 
 def spaced_out(alone: list[tuple[int, str]]) -> list[str]:
@@ -373,9 +390,10 @@ def train(
     labelled = labelled_texts(docs, labels, label_col, folds, bound)
     first, second, both = _lexicons(labelled)
     sides = [second, first]  # each half by the other's lexicon
+    table = docs.sparkSession.sparkContext.broadcast(class_table())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, memos, capitals = Classes(), [token_memo(side) for side in sides], capitals_memo()
+        classes, memos, capitals = Classes(table.value), [token_memo(side) for side in sides], capitals_memo()
         for batch in batches:
             halves = batch.column("half").to_pylist()
             made = [features(t, memos[h], capitals, classes) for t, h in zip(batch.column("text").to_pylist(), halves)]
@@ -394,11 +412,12 @@ def train(
     return Model(both, fit_boosted(x, y), steps)
 
 
-def _scorer(model: Model, out: str):
+def _scorer(spark: SparkSession, model: Model, out: str):
     """The model, whose size is bounded, travels with the function."""
+    table = spark.sparkContext.broadcast(class_table())
 
     def start():
-        classes, memo, capitals = Classes(), token_memo(model.lexicon), capitals_memo()
+        classes, memo, capitals = Classes(table.value), token_memo(model.lexicon), capitals_memo()
 
         def work(texts: list[str]) -> dict[str, list]:
             x = np.array([features(t, memo, capitals, classes) for t in texts]).reshape(-1, len(FEATURES))
@@ -411,7 +430,7 @@ def _scorer(model: Model, out: str):
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score of every row's whole text; null and empty texts are scored as texts without words."""
-    return derive(documents(docs, id_col, text_col), _scorer(model, "score"), "score double")
+    return derive(documents(docs, id_col, text_col), _scorer(docs.sparkSession, model, "score"), "score double")
 
 
 def with_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -419,4 +438,4 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     # The text is looked at under a name of its own, so that a null text may stay null in the result.
     looked = docs.withColumn("_looked_at", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
 
-    return derive(looked, _scorer(model, "toxic_score"), "toxic_score double", text_col="_looked_at", keep=tuple(docs.columns))
+    return derive(looked, _scorer(docs.sparkSession, model, "toxic_score"), "toxic_score double", text_col="_looked_at", keep=tuple(docs.columns))

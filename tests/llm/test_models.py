@@ -222,3 +222,22 @@ def test_pipeline_of_awkward_rows(spark, base, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
     spark.read.parquet(f"{base}/labels.parquet").limit(0).write.parquet(f"{empty}/labels.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_stages_carry_columns_whatever_they_are_called(spark, base):
+    clashing = (
+        "toxic_score score kept n_bytes n_removed n_spans spans found base n_assign n_access n_hex n_live n_example row owner "
+        "repo _place _check _again _looked_at key check label half carried_0 first"
+    ).split()
+    docs = spark.read.parquet(f"{base}/documents.parquet").where("doc_id < 60")
+    odd = docs.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in clashing}).cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = {r["doc_id"]: r for r in stage(spark, docs, base).collect()}
+        seen = stage(spark, odd, base)
+        assert seen.columns == odd.columns, name
+        rows = seen.collect()
+        assert {r["doc_id"] for r in rows} == plain.keys() and len(rows) == len(plain), name
+        for r in rows:
+            assert all(r[c] == plain[r["doc_id"]][c] for c in docs.columns), name
+            assert all(r[c] == f"{c} {r['doc_id']}" for c in clashing), name
+    assert corpus_pipeline.packing_stage(spark, odd, base).count() > 0

@@ -91,9 +91,9 @@ RESPONSES = """responses AS (
 def _overlap(source: str, extra: str = "") -> str:
     """Common table expressions ending in `overlap`, one row per request."""
     tokens_r, tokens_e = _TOKENS.format(t="response"), _TOKENS.format(t="expected")
-    return f"""cut AS (SELECT request_id{extra}, {tokens_r} AS r, {tokens_e} AS e FROM {source}),
-r AS (SELECT request_id, token, count(*) AS n FROM (SELECT request_id, unnest(r) AS token FROM cut) GROUP BY ALL),
-e AS (SELECT request_id, token, count(*) AS n FROM (SELECT request_id, unnest(e) AS token FROM cut) GROUP BY ALL),
+    return f"""cut AS MATERIALIZED (SELECT request_id{extra}, {tokens_r} AS r, {tokens_e} AS e FROM {source}),
+r AS MATERIALIZED (SELECT request_id, token, count(*) AS n FROM (SELECT request_id, unnest(r) AS token FROM cut) GROUP BY ALL),
+e AS MATERIALIZED (SELECT request_id, token, count(*) AS n FROM (SELECT request_id, unnest(e) AS token FROM cut) GROUP BY ALL),
 common AS (SELECT request_id, sum(least(r.n, e.n))::bigint AS n FROM r JOIN e USING (request_id, token) GROUP BY 1),
 counted AS (
   SELECT request_id{extra}, coalesce(common.n, 0) AS n_common, len(r)::bigint AS n_response,

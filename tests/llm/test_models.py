@@ -78,6 +78,45 @@ def test_large_components_stay_exact(spark):
     assert rows[1] == 1025 * (1 << 50) + (1 << 20) and rows[2] == 1025 * (1 << 50) + (1 << 21)
 
 
+def test_components_and_scores_beyond_a_long_are_the_nearest_long(spark):
+    rows = [(0, [1.0, 1e300]), (1, [1.0, 1e300]), (2, [1.0, -1e300]), (3, [0.0, 0.0]), (4, [1.0, 1e18])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    long = (1 << 63) - 1
+    got = [tuple(r) for r in cover_tree.top_k(df).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, long), (0, 2, 4, long), (0, 3, 3, 0), (0, 4, 2, -long)]
+
+
+@pytest.mark.parametrize("block,chunk", [(1 << 19, 1 << 13), (400, 5)])
+def test_repeated_ids_and_vectors_in_any_number_of_blocks(spark, monkeypatch, block, chunk):
+    monkeypatch.setattr(cover_tree, "_BLOCK", block)
+    draw = np.random.default_rng(3)
+    points = draw.integers(-20, 21, (500, 4))
+    points[:170] = points[0]
+    ids = np.where(np.arange(500) < 400, np.arange(500), 100 * (np.arange(500) % 3))  # 0, 100, 200 occur often
+    df = spark.createDataFrame([(int(i), [p / 1024 for p in map(float, v)]) for i, v in zip(ids, points)], "vec_id bigint, embedding array<double>")
+    wanted = []
+    for query in np.unique(ids[ids % 100 == 0]):
+        hits = sorted((-int(points[j] @ points[i]), int(ids[j])) for i in np.flatnonzero(ids == query) for j in np.flatnonzero(ids != query))
+        wanted += [(int(query), n + 1, j, -s) for n, (s, j) in enumerate(hits[:10])]
+    assert sorted(tuple(r) for r in cover_tree.top_k(df).collect()) == sorted(wanted)
+    assert sorted(tuple(r) for r in cover_tree.top_k(df, chunk=chunk).collect()) == sorted(wanted)
+
+
+def test_bounds_hold_for_large_vectors_that_cancel():
+    draw = np.random.default_rng(5)
+    data = draw.integers(-(1 << 30), 1 << 30, (3000, 6))
+    data[:, 0] += 1 << 45
+    queries = data[::50].copy()
+    queries[:, 0] = draw.integers(-9, 9, len(queries))
+    search = cover_tree.Search(np.arange(len(queries)) + 10_000, queries, 7, np.full(len(queries), cover_tree._LOWEST))
+    for part in np.array_split(np.arange(3000), 4):
+        search.add(part, data[part])
+    scores = (queries.astype(object) @ data.astype(object).T).astype(np.int64)
+    for place, query in enumerate(search.ids - 10_000):
+        best = np.lexsort((np.arange(3000), -scores[query]))[:7]
+        assert search.found[search.place == place].tolist() == best.tolist()
+
+
 def test_toxicity_on_held_out_documents(spark):
     base = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))

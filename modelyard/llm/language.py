@@ -86,8 +86,8 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> DataFrame:
     """lang, code, place (from 0): the `size` most frequent n-grams of each language over all rows.
 
-    Rows without language or text teach nothing.  The window sees the distinct n-grams of one
-    language, which the alphabet bounds, not the corpus.
+    Rows without language or text teach nothing.  Every task keeps the `size` best of the n-grams it
+    counted before they meet, so the window sees that many rows of a language from each of them.
     """
     rows = docs.select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text")
@@ -97,7 +97,9 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", si
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     return (
-        counted.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < size).drop("n")
+        counted.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= size)
+        .select("lang", "code", (F.col("rank") - 1).alias("place"))
     )
 
 

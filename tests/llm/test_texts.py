@@ -319,6 +319,15 @@ def test_language_of_awkward_rows(given, awkward):
     assert {r["lang_pred"] for r in language.identify(awkward, language.profiles(awkward)).collect()} == {"und"}
 
 
+def test_equal_distances_go_to_the_language_first_in_order_of_names(spark):
+    rows = [(1, "one and two", "b"), (2, "one and two", "a"), (3, "one and two", "c"), (4, "one and two", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = language.profiles(docs, size=5)
+    places = learned.groupBy("lang").agg(F.sort_array(F.collect_list("place")).alias("p")).collect()
+    assert sorted((r["lang"], r["p"]) for r in places) == [(n, [0, 1, 2, 3, 4]) for n in "abc"]
+    assert {r["lang_pred"] for r in language.identify(docs, learned, size=5).collect()} == {"a"}
+
+
 def test_out_of_place_distance_by_hand():
     letters = language._letters()
     own = language.ranked(language.grams("Aab", letters), 10)

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from modelyard.functions.text import lcs_length, shared_counts, tokens
+from modelyard.functions.text import lcs_lengths, shared_counts, tokens
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -45,9 +44,9 @@ def token_overlap(df: DataFrame, response: str, expected: str) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.LongType())
-def _common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int64")
+@F.arrow_udf(T.LongType())
+def _common_subsequence(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array(lcs_lengths(a, b))
 
 
 def rouge_l(df: DataFrame, response: str, expected: str) -> DataFrame:

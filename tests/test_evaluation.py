@@ -3,11 +3,12 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import types as T
 
-from modelyard.functions.text import lcs_length
+from modelyard.functions.text import lcs_length, lcs_lengths, shared_counts
 from modelyard.operators import evaluation
 
 
@@ -29,6 +30,18 @@ def test_lcs_equals_table(a, b):
     assert lcs_length(a, b) == _lcs_table(a, b) == lcs_length(b, a)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(words, st.lists(st.sampled_from("cdefg"), max_size=20)), max_size=8), st.booleans())
+def test_rows_of_a_batch_are_scored_like_single_ones(pairs, turn):
+    if turn:
+        pairs = [(b, a) for a, b in pairs]
+    a, b = (pa.array([p[i] for p in pairs], pa.list_(pa.string())) for i in (0, 1))
+    assert lcs_lengths(a, b).tolist() == [_lcs_table(x, y) for x, y in pairs]
+    assert shared_counts(a, b).tolist() == [sum((Counter(x) & Counter(y)).values()) for x, y in pairs]
+    if len(pairs) > 1:  # a part of a larger batch
+        assert lcs_lengths(a[1:], b[1:]).tolist() == lcs_lengths(a, b).tolist()[1:]
+
+
 def _plain_tokens(text):
     lowered = "".join(c for c in (text or "").lower() if c.isalnum() or c in " \t\n\r\f")
     return [w for w in lowered.split() if w not in ("a", "an", "the")]

@@ -35,7 +35,7 @@ from modelyard.plans import standins
 from modelyard.sources.shared import scratch_path
 from modelyard.sources.tables import dataset_profile, read_table
 from modelyard.sources.tracking_store import TrackingStore
-from modelyard.streaming import deltas, metric_log
+from modelyard.streaming import arrivals, deltas, metric_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -987,14 +987,10 @@ def stream_deltas(spark, base):
 
 @query
 def stream_dedup(spark, base):
-    """Every log row arrives twice; one of the two is kept.  Rows arrive in order of time, so that none is late."""
-    path = scratch_path(spark, "dedup")
-    events = read_table(spark, base, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    for arrival in metric_log.in_order(events, ["ts", "event_id"], f"{path}/dealt", metric_log.ARRIVAL_ROWS):
-        arrival.write.mode("append").parquet(f"{path}/in")
-        log = _streamed_log(metric_log.read_log(spark, f"{path}/in", max_files_per_trigger=None))
-        kept = metric_log.deduplicated(log.unionByName(log), ["model_id", "key", "log_seq"])
-        metric_log.append_to(kept, f"{path}/rows", f"{path}/progress").awaitTermination()
+    """Every log row arrives twice; one of the two is kept, in whatever order the files come."""
+    path, log = scratch_path(spark, "dedup"), _events_stream(spark, base)
+    kept = arrivals.first_arrivals(log.unionByName(log))
+    metric_log.append_to(kept, f"{path}/rows", f"{path}/progress").awaitTermination()
     return spark.read.schema(kept.schema).parquet(f"{path}/rows").select("model_id", "key", "value", "log_seq")
 
 

@@ -1,4 +1,4 @@
-"""The metric log as a stream: deduplication, tumbling windows, running best.
+"""The metric log as a stream: deduplication within a delay, tumbling windows, running best.
 
 File streams in and out, both append-only: the parquet sink and the `foreachBatch` writer keep their
 progress in the checkpoint location, so a restarted query neither loses nor repeats rows.
@@ -6,8 +6,6 @@ progress in the checkpoint location, so a restarted query neither loses nor repe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,7 +21,6 @@ def as_instant(column: str) -> Column:
 
 
 FILES_PER_TRIGGER = 64
-ARRIVAL_ROWS = 5_000_000
 
 
 def read_log(spark: SparkSession, table: str, max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
@@ -31,7 +28,7 @@ def read_log(spark: SparkSession, table: str, max_files_per_trigger: int | None
 
     A micro-batch takes a bounded number of files, so that state can be freed between batches.  None
     takes all files at once.  Before a watermark, files whose times overlap by more than its delay lose
-    rows if they come in several batches: such a table is to arrive `in_order`.
+    rows if they come in several batches; `arrivals.first_arrivals` has no watermark.
     """
     schema = spark.read.parquet(table).schema
     # A stream takes a single file only through a pattern; this one matches the table and nothing else.
@@ -43,25 +40,6 @@ def read_log(spark: SparkSession, table: str, max_files_per_trigger: int | None
     return stream.parquet(only)
 
 
-def in_order(table: DataFrame, by: list[str], path: str, rows: int = ARRIVAL_ROWS) -> Iterator[DataFrame]:
-    """The rows of a table as arrivals of about `rows` rows, none with a row before one of an earlier arrival.
-
-    The table is dealt out by range once, below `path`.  An empty table is one empty arrival.
-    """
-    dealt = table.repartitionByRange(*by).withColumn("_part", F.spark_partition_id())
-    dealt.write.partitionBy("_part").parquet(path)
-    written = table.sparkSession.read.schema(dealt.schema).parquet(path)
-    waiting, n = [], 0
-    for part, count in written.groupBy("_part").count().orderBy("_part").collect():
-        waiting, n = [*waiting, part], n + count
-        if n >= rows:
-            yield written.where(F.col("_part").between(waiting[0], waiting[-1])).drop("_part")
-            waiting, n = [], 0
-    last = F.col("_part").between(waiting[0], waiting[-1]) if waiting else F.lit(False)
-    if waiting or written.isEmpty():
-        yield written.where(last).drop("_part")
-
-
 def deduplicated(log: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """First arrival per key; repeats within the watermark delay are dropped and state is freed after it."""
     return log.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)

@@ -37,9 +37,7 @@ def test_repeats_are_dropped_within_the_delay(spark):
     assert sorted(r["log_seq"] for r in spark.read.parquet(f"{out}/rows").collect()) == [1, 2, 3]
 
 
-@pytest.mark.parametrize("arrival_rows", [metric_log.ARRIVAL_ROWS, 150])
-def test_dedup_keeps_all_rows_of_many_files_with_overlapping_times(spark, base, tmp_path, monkeypatch, arrival_rows):
-    monkeypatch.setattr(metric_log, "ARRIVAL_ROWS", arrival_rows)
+def test_dedup_keeps_all_rows_of_many_files_with_overlapping_times(spark, base, tmp_path):
     files = 2 * metric_log.FILES_PER_TRIGGER + 6  # a watermark drops rows from the third batch on
     events = spark.read.parquet(f"{base}/events.parquet").limit(700)
     events.repartition(files).write.parquet(f"{tmp_path}/events.parquet")

@@ -8,7 +8,8 @@ from modelyard.functions.scalars import endpoint_name, has_key_ignoring_case, ur
 from modelyard.operators.blocks import numbered
 from modelyard.sources.parameters import DEFAULT_APPROVAL_TAG
 
-# The accepted tag value and the settings of a served entity.
+# The name of evaluation runs, the accepted tag value and the settings of a served entity.
+EVALUATION = "evaluation"
 APPROVED_VALUE = "approved"
 WORKLOAD_SIZE = "Small"
 SCALE_TO_ZERO = True
@@ -73,6 +74,12 @@ def approval_gate(versions: DataFrame, tag: str = DEFAULT_APPROVAL_TAG) -> DataF
     )
 
 
+def evaluations(metrics: DataFrame, runs: DataFrame, run_name: str = EVALUATION) -> DataFrame:
+    """Metrics logged in runs of a name: those of training runs are no evaluation."""
+    named = runs.where(F.col("run_name") == run_name).select("run_id").distinct()
+    return metrics.join(named, "run_id", "left_semi")
+
+
 def deployable_versions(
     versions: DataFrame,
     evaluations: DataFrame,

@@ -142,13 +142,16 @@ def metric_curve(metrics: DataFrame, by: Sequence[str] = ("model_id", "key")) ->
     )
 
 
-def with_facts(models: DataFrame, facts: DataFrame) -> DataFrame:
+def with_facts(models: DataFrame, facts: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Models with their facts; a model without facts stays, once, with NULLs.
 
+    `known` is a cheaper table of the models that have facts, repeats allowed, where there is one: facts
+    that are aggregates would be computed a second time only to see whose they are.
+
     As an inner join plus the models that have none: an inner join may broadcast the models or
     split a hot model's facts, an outer join from the models could do neither.
     """
-    known = facts.select("model_id").distinct()
+    known = (facts if known is None else known).select("model_id").distinct()
     bare = models.join(known, "model_id", "left_anti")
     return models.join(facts, "model_id").unionByName(bare, allowMissingColumns=True)
 
@@ -163,7 +166,7 @@ def lineage(models: DataFrame, metrics: DataFrame, datasets: DataFrame, runs: Da
         F.count(F.lit(1)).alias("n_metrics"), F.max_by("value", "log_seq").alias("last_value")
     )
     return (
-        with_facts(models, linked)
+        with_facts(models, linked, known=metrics)
         .join(datasets.withColumnRenamed("name", "dataset"), "dataset", "left")
         .join(runs, "run_id", "left")
     )
@@ -202,7 +205,7 @@ def model_documents(models: DataFrame, metrics: DataFrame, part_bits: int = PART
     )
     attributes = [c for c in models.columns if c != "model_id"]
     empty = F.from_json(F.lit("[]"), parts.schema["metrics"].dataType)
-    return with_facts(models, parts).select(
+    return with_facts(models, parts, known=metrics).select(
         "model_id",
         "part",
         F.to_json(

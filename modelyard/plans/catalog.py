@@ -32,7 +32,7 @@ from modelyard.operators import (
     vectors,
 )
 from modelyard.plans import standins
-from modelyard.sources.shared import scratch_path
+from modelyard.sources.shared import cut_lineage, scratch_path
 from modelyard.sources.tables import dataset_profile, read_table
 from modelyard.sources.tracking_store import TrackingStore
 from modelyard.streaming import arrivals, deltas, metric_log
@@ -43,6 +43,7 @@ QUERIES: dict[str, Query] = {}
 WIDTH = 64
 CLASSES = 10
 LATE = 97
+EVALUATED_AT_LEAST = 150.0
 PROMPT = "Answer briefly."
 
 
@@ -876,11 +877,16 @@ def toolcall_pr(spark, base):
 # --- registry ---------------------------------------------------------------------------------
 
 
-def _registered(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """(existing, fresh) versions: the later registrations come on top of the earlier ones."""
-    arrivals = standins.registrations(spark, base)
-    existing = registry.register_versions(arrivals.where("is_earlier"))
-    return existing, registry.register_versions(arrivals.where("not is_earlier"), existing)
+def _registered(spark: SparkSession, base: str, written: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(existing, fresh) versions: the later registrations come on top of the earlier ones.
+
+    `written` numbers the existing ones once, for plans that read them more than once.
+    """
+    registered = standins.registrations(spark, base)
+    existing = registry.register_versions(registered.where("is_earlier"))
+    if written:
+        existing = cut_lineage(existing)
+    return existing, registry.register_versions(registered.where("not is_earlier"), existing)
 
 
 @query
@@ -890,7 +896,7 @@ def register_versions(spark, base):
 
 @query
 def resolve_uri(spark, base):
-    existing, fresh = _registered(spark, base)
+    existing, fresh = _registered(spark, base, written=True)
     versions = existing.unionByName(fresh)
     case = F.col("arrival") % 3
     uri = (
@@ -929,6 +935,17 @@ def deployable_versions(spark, base):
     return registry.deployable_versions(_tagged(spark, base), log).select("name", "version", "model_id")
 
 
+@query
+def deployable_evaluated(spark, base):
+    """Approved versions whose model reached a value in an evaluation run; the runs of even days are such."""
+    log = standins.metric_log(spark, base)
+    even = F.day(F.to_date(F.substring("run_id", 3, 10))) % 2 == 0
+    runs = log.select("run_id").distinct().withColumn("run_name", F.when(even, registry.EVALUATION).otherwise("training"))
+    evaluated = registry.evaluations(log, runs)
+    gate = registry.deployable_versions(_tagged(spark, base), evaluated, required=("purchase", EVALUATED_AT_LEAST))
+    return gate.select("name", "version", "model_id")
+
+
 @query
 def deployable_with_threshold(spark, base):
     latest = tracking.latest_metric(standins.metric_log(spark, base), ["model_id", "key"])
@@ -938,9 +955,9 @@ def deployable_with_threshold(spark, base):
 
 @query
 def endpoint_upsert(spark, base):
-    arrivals = standins.registrations(spark, base).withColumn("version", F.col("arrival"))
-    existing = registry.desired_endpoints(arrivals.where("is_earlier"))
-    incoming = registry.desired_endpoints(arrivals.where("not is_earlier"))
+    registered = standins.registrations(spark, base).withColumn("version", F.col("arrival"))
+    existing = registry.desired_endpoints(registered.where("is_earlier"))
+    incoming = registry.desired_endpoints(registered.where("not is_earlier"))
     return registry.upsert_endpoints(existing, incoming)
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Mapping
 
-from modelyard.operators import linear, metrics, models, network, registry, signatures, tracking
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+
+from modelyard.operators import agents, evaluation, linear, metrics, models, network, registry, signatures, tracking
 from modelyard.sources.parameters import require
+from modelyard.sources.shared import cut_lineage
 from modelyard.sources.tables import NamedDataset
 from modelyard.sources.tracking_store import LoggedModel, TrackingStore
 
-EVALUATION = "evaluation"
+EVALUATION = registry.EVALUATION
 
 
 def evaluate_splits(df: DataFrame, model: linear.LinearModel, features: str, label: str, dataset: str) -> DataFrame:
@@ -191,6 +195,31 @@ def evaluate_version(store: TrackingStore, uri: str, data: NamedDataset, feature
     return model_id
 
 
+def evaluate_agent(
+    store: TrackingStore,
+    model_id: str,
+    data: NamedDataset,
+    predict: Callable[[pd.Series], pd.Series],
+    request: str = "request",
+    expected: str = "expected",
+    extra: Mapping[str, Column] | None = None,
+) -> tuple[str, DataFrame]:
+    """(run id, result table): every request answered and scored, the means logged in an evaluation run.
+
+    The result table is written once, below the store's scratch folder, so a responder is asked once a
+    row.  `extra` are further aggregates over its columns; one that is NULL is not logged, and without
+    any request only the number of rows is.
+    """
+    with store.run(EVALUATION) as run:
+        answered = agents.predict_once(data.df, predict, request)
+        rows = cut_lineage(evaluation.token_overlap(answered, "response", expected))
+        summary = evaluation.summarise(rows, extra=extra).first().asDict()
+        store.append("datasets", data.profile().drop("n_null_cells"))
+        logged = {key: float(value) for key, value in summary.items() if value is not None}
+        store.log_metrics(logged, model_id, data.name, run.run_id)
+    return run.run_id, rows
+
+
 def promote(
     store: TrackingStore, endpoints: DataFrame, tag: str = registry.DEFAULT_APPROVAL_TAG
 ) -> DataFrame:
@@ -198,7 +227,6 @@ def promote(
 
     Only metrics of evaluation runs count; a model that was merely trained is not promoted.
     """
-    runs = store.read("runs").where(F.col("run_name") == EVALUATION).select("run_id").distinct()
-    evaluations = store.read("metrics").join(runs, "run_id", "left_semi")
-    deployable = registry.deployable_versions(store.read("versions"), evaluations, tag)
+    evaluated = registry.evaluations(store.read("metrics"), store.read("runs"))
+    deployable = registry.deployable_versions(store.read("versions"), evaluated, tag)
     return registry.upsert_endpoints(endpoints, registry.desired_endpoints(deployable))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from modelyard.plans.catalog import CLASSES, PROMPT, WIDTH
+from modelyard.plans.catalog import CLASSES, EVALUATED_AT_LEAST, PROMPT, WIDTH
 
 
 def _hash(key: str) -> str:
@@ -586,6 +586,11 @@ SELECT name, version, strftime(asked_at, '%Y-%m-%d') AS asked_on, n_tags, reason
 WITH {GATE}
 SELECT name, version, model_id FROM gate
 WHERE reason = 'approved' AND model_id IN (SELECT 'm-' || user_id FROM events)""",
+    "q_deployable_evaluated": f"""
+WITH {GATE}
+SELECT name, version, model_id FROM gate
+WHERE reason = 'approved' AND model_id IN (
+  SELECT 'm-' || user_id FROM events WHERE event_type = 'purchase' AND value >= {EVALUATED_AT_LEAST} AND day(ts) % 2 = 0)""",
     "q_deployable_with_threshold": f"""
 WITH {GATE}, {LOG},
 latest AS (SELECT model_id, arg_max(value, (step, log_seq)) AS value FROM log WHERE key = 'purchase' GROUP BY model_id)

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from modelyard.operators import linear, network, tracking
+from modelyard.operators import linear, network, registry, tracking
 from modelyard.plans import lifecycle, standins
 from modelyard.schemas import ENDPOINTS
 from modelyard.sources.shared import cut_lineage, scratch_path, shared_dir
@@ -127,3 +127,52 @@ def test_shared_folder_is_the_configured_one(spark):
     cut = cut_lineage(spark.range(5).selectExpr("id * 2 AS x"))
     assert sorted(r["x"] for r in cut.collect()) == [0, 2, 4, 6, 8]
     assert "RDD" in cut._jdf.queryExecution().toString()
+
+
+def _evaluation_metrics(store):
+    evaluated = registry.evaluations(store.read("metrics"), store.read("runs"))
+    return {(r["model_id"], r["dataset"], r["key"]): r["value"] for r in evaluated.collect()}
+
+
+def test_an_agent_is_answered_scored_and_logged_in_an_evaluation_run(store, spark):
+    (agent,) = store.log_models([{"name": "agent", "model_type": "agent"}])
+    with store.run("training") as training:
+        store.log_metrics({"f1": 1.0}, agent.model_id, "items", training.run_id)
+    requests = spark.createDataFrame(
+        [(1, "a b", "A B c"), (2, "x", "y"), (3, None, "z"), (4, "a", None)], "id int, request string, expected string"
+    )
+    asked = spark.sparkContext.accumulator(0)
+
+    def upper(texts):
+        asked.add(len(texts))
+        return texts.str.upper()
+
+    longest = {"longest": F.max(F.length("response")), "none": F.max(F.lit(None).cast("double"))}
+    run_id, rows = lifecycle.evaluate_agent(store, agent.model_id, NamedDataset(requests, "items"), upper, extra=longest)
+    assert [r["response"] for r in rows.orderBy("id").collect()] == ["A B", "X", None, "A"]
+    assert asked.value == 4
+    logged = _evaluation_metrics(store)
+    assert {m for m, _, _ in logged} == {agent.model_id} and {d for _, d, _ in logged} == {"items"}
+    by_key = {k: v for (_, _, k), v in logged.items()}
+    assert (by_key["n_rows"], by_key["longest"]) == (4.0, 3.0) and "none" not in by_key
+    # Articles do not count: "b" against "b c" gives 2/3, the other rows nothing.
+    assert by_key["f1"] == pytest.approx(2 / 3 / 4)
+    run = store.read("runs").where(F.col("run_id") == run_id).first()
+    assert (run["run_name"], run["status"]) == ("evaluation", "FINISHED")
+    version = store.register(agent.model_id, "main.default.agent", {"Approval_Check": "approved"})
+    endpoints = lifecycle.promote(store, spark.createDataFrame([], ENDPOINTS)).collect()
+    assert [(r["entity_name"], r["entity_version"]) for r in endpoints] == [("main.default.agent", version)]
+
+
+def test_an_agent_without_requests_or_with_a_failing_responder(store, spark):
+    (agent,) = store.log_models([{"name": "agent"}])
+    requests = spark.createDataFrame([("r", "e")], "request string, expected string")
+
+    def broken(texts):
+        raise RuntimeError("no answer")
+
+    with pytest.raises(Exception, match="no answer"):
+        lifecycle.evaluate_agent(store, agent.model_id, NamedDataset(requests, "items"), broken)
+    assert store.read("runs").first()["status"] == "FAILED" and not _evaluation_metrics(store)
+    lifecycle.evaluate_agent(store, agent.model_id, NamedDataset(requests.limit(0), "none"), lambda texts: texts)
+    assert {k: v for (_, d, k), v in _evaluation_metrics(store).items() if d == "none"} == {"n_rows": 0.0, "n_empty_responses": 0.0}
